@@ -377,5 +377,8 @@ def fouling_rates(
         )
         .withColumn("valid_cycles", F.coalesce("valid_cycles", F.lit(0)))
         .withColumn("outliers_removed", F.col("total_cycles") - F.col("valid_cycles"))
-        .withColumn("post_cleaning_cycles", F.coalesce("post_cleaning_cycles", F.lit(0)))
+        .withColumn(
+            "post_cleaning_cycles",
+            F.when(F.col("valid_cycles") >= 2, F.coalesce("post_cleaning_cycles", F.lit(0))).otherwise(0),
+        )
     )

@@ -12,7 +12,7 @@ from permeate.functions.regression import fit_lines, slope_per_second
 from permeate.functions.scalars import severity
 from permeate.functions.timing import DAY, micros_of
 from permeate.operators.joins import append_per_unit
-from permeate.operators.ordering import UNIT
+from permeate.operators.ordering import UNIT, row_index
 from permeate.operators.quality import sample_intervals
 from permeate.operators.quantiles import fence, group_quantiles
 from permeate.operators.rolling import decline_from_window_start
@@ -189,8 +189,6 @@ def daily_low(df: DataFrame, column: str = "perm_tc", keys: Sequence[str] = UNIT
 
 def fenced_daily_low(df: DataFrame, column: str = "perm_tc", keys: Sequence[str] = UNIT) -> DataFrame:
     """Daily values inside the fence, numbered in day order (``rn`` 1, 2, …)."""
-    from permeate.operators.ordering import row_index
-
     daily = stage(daily_low(df, column, keys), "daily")
     kept = fence(daily, "daily_value", keys, tie=("us",), at_least=4).filter("inside")
     return row_index(kept.drop("inside", "fence_low", "fence_high"), keys, ["us"], name="daily")
