@@ -9,18 +9,23 @@ more than one block of events or one group of summaries.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from permeate.operators.ordering import UNIT, row_index, running
 
 GROUP = 4_096
 
+# The rules travel with the tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class KeepApart:
     """Keep an event only if it lies more than ``distance`` after the last kept one.
@@ -127,9 +132,7 @@ def greedy(
         pdf = pdf.sort_values(index)
         return pdf[[*keys, "_block"]].iloc[[0]].assign(vector=[rule.summary(pdf)])
 
-    summary_type = StructType(
-        [*key_fields, StructField("_block", LongType())]
-    ).add("vector", "array<double>")
+    summary_type = shape(("_block", LongType()), ("vector", ArrayType(DoubleType())))
     blocks = blocked.groupBy(*keys, "_block").applyInPandas(summarise, summary_type)
     grouped = blocks.withColumn("_group", F.floor(F.col("_block") / group).cast("long"))
 
@@ -140,7 +143,7 @@ def greedy(
             total = rule.combine(total, vector)
         return pdf[[*keys, "_group"]].iloc[[0]].assign(vector=[list(total)])
 
-    group_type = StructType([*key_fields, StructField("_group", LongType())]).add("vector", "array<double>")
+    group_type = shape(("_group", LongType()), ("vector", ArrayType(DoubleType())))
     groups = grouped.groupBy(*keys, "_group").applyInPandas(chain, group_type)
 
     def walk(column: str):
@@ -164,9 +167,11 @@ def greedy(
         .applyInPandas(walk("_block"), shape(("_block", LongType()), ("_entry", DoubleType())))
     )
 
+    columns = [*events.columns, "outcome"]
+
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(index)
-        return rule.replay(pdf, float(pdf["_entry"].iloc[0]))[[*events.columns, "outcome"]]
+        return rule.replay(pdf, float(pdf["_entry"].iloc[0]))[columns]
 
     out = StructType([*events.schema.fields, StructField("outcome", DoubleType())])
     return (
