@@ -70,3 +70,40 @@ def residual_std(n: Column, ss_res: Column, at_least_one: bool = False) -> Colum
     """sqrt(SSres / (n - 2)); NULL for n <= 2 unless the divisor is kept at 1 or more."""
     free = F.greatest(n - 2, F.lit(1)) if at_least_one else F.when(n > 2, n - 2)
     return F.sqrt(F.greatest(ss_res, F.lit(0.0)) / free)
+
+
+def moments(df: DataFrame, y: str, keys: Sequence[str], us: str = "us") -> DataFrame:
+    """Centred sums per group, from which lines over any union of groups can be fitted."""
+    x, v = seconds(F.col(us)), F.col(y).cast("double")
+    return df.filter(F.col(y).isNotNull()).groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        F.regr_avgx(v, x).alias("x_mean"),
+        F.regr_avgy(v, x).alias("y_mean"),
+        F.regr_sxx(v, x).alias("sxx"),
+        F.regr_sxy(v, x).alias("sxy"),
+        F.regr_syy(v, x).alias("syy"),
+    )
+
+
+def fit_from_moments(parts: DataFrame, keys: Sequence[str] = ("unit_id",)) -> DataFrame:
+    """Line over all parts of each group: n, slope (per second) and r_squared."""
+    keys = list(keys)
+    c = F.col
+    centre = parts.groupBy(*keys).agg(
+        (F.sum(c("x_mean") * c("n")) / F.sum("n")).alias("_x"),
+        (F.sum(c("y_mean") * c("n")) / F.sum("n")).alias("_y"),
+    )
+    dx, dy = c("x_mean") - c("_x"), c("y_mean") - c("_y")
+    total = parts.join(centre, keys).groupBy(*keys).agg(
+        F.sum("n").alias("n"),
+        F.sum(c("sxx") + c("n") * dx * dx).alias("_sxx"),
+        F.sum(c("sxy") + c("n") * dx * dy).alias("_sxy"),
+        F.sum(c("syy") + c("n") * dy * dy).alias("_syy"),
+    )
+    slope = F.try_divide("_sxy", "_sxx")
+    return total.select(
+        *keys,
+        "n",
+        slope.alias("slope"),
+        F.when(c("_syy") == 0, F.lit(0.0)).otherwise(slope * F.try_divide("_sxy", "_syy")).alias("r_squared"),
+    )

@@ -127,7 +127,8 @@ def tree_forecast(
     """One model over all units; per unit the value expected at the horizon.
 
     The last feature row is moved to the horizon: calendar features change, the rest is kept.
-    Units with fewer than ``min_rows`` rows are left out.
+    Units with fewer than ``min_rows`` rows are left out.  Days to the threshold are counted
+    along the straight way from the current to the predicted value.
     """
     keys = list(keys)
     large = series_length(ordered, keys, "_n").filter(F.col("_n") >= min_rows).select(*keys)
@@ -137,8 +138,41 @@ def tree_forecast(
         test_share,
         keys,
     )
+    if rows.isEmpty():
+        return _no_forecast(ordered, keys)
     model, vectors = train(rows, names, target, kind, **(parameters or {}))
     scores = evaluation_table(model, vectors, target, keys)
+    return point_forecast(
+        model, rows, scores, names, target, kind, horizon_days, confidence, threshold, keys
+    )
+
+
+def _no_forecast(ordered: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The empty forecast table."""
+    fields = [
+        "parameter string", "model_type string", "forecast_horizon_days double", "current_value double",
+        "predicted_value double", "prediction_date timestamp_ntz", "confidence_level double",
+        "lower_bound double", "upper_bound double", "r_squared double", "rmse double", "mae double",
+        "time_to_threshold double", "threshold_value double", "threshold_date timestamp_ntz",
+    ]
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (f.split() for f in fields)]
+    return ordered.filter(F.lit(False)).select(*keys, *nothing)
+
+
+def point_forecast(
+    model,
+    rows: DataFrame,
+    scores: DataFrame,
+    names: Sequence[str],
+    target: str = "tmp",
+    kind: str = "random_forest",
+    horizon_days: float = 7,
+    confidence: float = 0.95,
+    threshold: float = 8.0,
+    keys: Sequence[str] = UNIT,
+) -> DataFrame:
+    """Forecast of a trained model from the last feature row of each unit."""
+    keys, names = list(keys), list(names)
     horizon = int(horizon_days * DAY)
     last = rows.groupBy(*keys).agg(F.max_by(F.struct("us", target, *names), "rn").alias("_last"))
     moved = last.select(*keys, "_last.*").withColumns(

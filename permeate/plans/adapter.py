@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ def sensor_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BANDS = bands_for(list(SENSORS))
 
-_tables: dict[tuple, DataFrame] = {}
+_made: dict[tuple, Any] = {}
 
 
 def _version(spark: SparkSession, path: str) -> tuple:
@@ -84,14 +85,17 @@ def _version(spark: SparkSession, path: str) -> tuple:
     return tuple(row)
 
 
-def prepared(
-    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
-) -> DataFrame:
-    """A table written once per session and data version, like the stage outputs of a batch run."""
+def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Any]) -> Any:
+    """The result of ``build``, made once per session and data version."""
     key = (spark.sparkContext.applicationId, sf_dir, _version(spark, f"{sf_dir}/events.parquet"), name)
-    if key not in _tables:
-        _tables[key] = stage(build(), name)
-    return _tables[key]
+    if key not in _made:
+        _made[key] = build()
+    return _made[key]
+
+
+def prepared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table written once and then read by several queries, like the stage outputs of a batch run."""
+    return once(spark, sf_dir, name, lambda: stage(build(), name))
 
 
 def ordered_log(spark: SparkSession, sf_dir: str) -> DataFrame:
