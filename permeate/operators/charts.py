@@ -12,8 +12,9 @@ from permeate.functions.regression import fit_lines, line_at, residual_std
 from permeate.functions.scalars import severity
 from permeate.functions.timing import micros_of, plus_days, to_stamp
 from permeate.operators.ordering import UNIT
-from permeate.operators.prepare import moving_average, stride_sample
+from permeate.operators.prepare import stride_sample
 from permeate.operators.quantiles import fence
+from permeate.operators.rolling import moving_average
 from permeate.schema import CHART_SLOPE_LIMITS, DECLINE_LIMITS
 from permeate.storage import stage
 

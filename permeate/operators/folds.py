@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from permeate.operators.ordering import UNIT, row_index, running
+from permeate.operators.ordering import UNIT, ordered_pieces, running
 
 GROUP = 4_096
 
@@ -222,12 +222,11 @@ def first_takers(
         F.lit(-1).alias("_kind"),
         F.col(taker_tie).cast("long").alias("_tie"),
     )
-    stream = row_index(
+    stream = ordered_pieces(
         probes.unionByName(arrivals, allowMissingColumns=True).unionByName(expiries, allowMissingColumns=True),
         keys,
         ("_at", "_kind", "_tie"),
-        index="_en",
-        name="takers",
+        "takers",
     )
     counted = running(
         stream.withColumn("_is_item", (F.col("_kind") == 1).cast("long")).withColumn(
@@ -235,8 +234,8 @@ def first_takers(
         ),
         {"_items": ("sum", "_is_item"), "_takers": ("sum", "_is_taker")},
         keys=keys,
-        index="_en",
         inclusive=False,
+        pieces=True,
     )
     counted = counted.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("_items", "_takers")})
     arrived = counted.filter("_kind = 0").select(

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from permeate.operators.ordering import UNIT, row_index, running
+from permeate.operators.ordering import UNIT, ordered_pieces, running
 
 
 def interval_join(
@@ -17,7 +17,6 @@ def interval_join(
     keys: Sequence[str] = UNIT,
     start: str = "start_us",
     end: str = "end_us",
-    **blocks,
 ) -> DataFrame:
     """Points with the interval holding them, both ends included; others are dropped.
 
@@ -30,10 +29,10 @@ def interval_join(
                            F.struct(*points.columns).alias("_point"))
     opens = intervals.select(*keys, F.col(start).alias("_at"), F.lit(0).alias("_kind"), F.col(start).alias("_tie"),
                              F.struct(*payload).alias("_interval"))
-    stream = row_index(
-        events.unionByName(opens, allowMissingColumns=True), keys, ("_at", "_kind", "_tie"), index="_en", name="intervals"
+    stream = ordered_pieces(
+        events.unionByName(opens, allowMissingColumns=True), keys, ("_at", "_kind", "_tie"), "intervals"
     )
-    carried = running(stream, {"_open": ("last", "_interval")}, keys=keys, index="_en", **blocks)
+    carried = running(stream, {"_open": ("last", "_interval")}, keys=keys, pieces=True)
     return carried.filter((F.col("_kind") == 1) & (F.col("_at") <= F.col("_open")[end])).select(
         "_point.*", *[F.col("_open")[c].alias(c) for c in payload]
     )
@@ -44,7 +43,6 @@ def next_after(
     right: DataFrame,
     keys: Sequence[str] = UNIT,
     out: str = "next_us",
-    **blocks,
 ) -> DataFrame:
     """Each left row with the first stamp of ``right`` strictly after it (NULL if none)."""
     keys = list(keys)
@@ -52,11 +50,11 @@ def next_after(
                        F.struct(*left.columns).alias("_row"))
     stamps = right.select(*keys, F.col("us").alias("_at"), F.lit(0).alias("_kind"), F.col("seq").alias("_tie"),
                           F.col("us").alias("_stamp"))
-    stream = row_index(
-        rows.unionByName(stamps, allowMissingColumns=True), keys, ("_at", "_kind", "_tie"), index="_en", name="next"
+    stream = ordered_pieces(
+        rows.unionByName(stamps, allowMissingColumns=True), keys, ("_at", "_kind", "_tie"), "next"
     )
     carried = running(
-        stream, {out: ("last", "_stamp")}, keys=keys, index="_en", reverse=True, inclusive=False, **blocks
+        stream, {out: ("last", "_stamp")}, keys=keys, reverse=True, inclusive=False, pieces=True
     )
     return carried.filter(F.col("_kind") == 1).select("_row.*", out)
 

@@ -27,6 +27,23 @@ ORDER = ("us", "seq")
 BLOCK_ROWS = 32_768
 
 
+def ordered_pieces(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "ordered"
+) -> DataFrame:
+    """Rows sorted on (keys, order) and cut into pieces of similar size, written once.
+
+    ``_piece`` numbers the pieces in order, ``_place`` the rows; together with :func:`running`
+    this is enough for anything that is carried along the order.
+    """
+    place = [*keys, *order]
+    return stage(
+        df.repartitionByRange(*place)
+        .sortWithinPartitions(*place)
+        .withColumn("_place", F.monotonically_increasing_id()),
+        name,
+    ).withColumn("_piece", F.shiftright("_place", 33))
+
+
 def row_index(
     df: DataFrame,
     keys: Sequence[str] = UNIT,
@@ -40,13 +57,7 @@ def row_index(
     must see the same cut.  The table of lengths has one row per piece and key.
     """
     keys = list(keys)
-    place = [*keys, *order]
-    pieces = stage(
-        df.repartitionByRange(*place)
-        .sortWithinPartitions(*place)
-        .withColumn("_place", F.monotonically_increasing_id()),
-        name,
-    ).withColumn("_piece", F.shiftright("_place", 33))
+    pieces = ordered_pieces(df, keys, order, name)
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         pieces.groupBy(*keys, "_piece")
@@ -137,6 +148,7 @@ def running(
     inclusive: bool = True,
     block_rows: int = BLOCK_ROWS,
     levels: int = 2,
+    pieces: bool = False,
 ) -> DataFrame:
     """Running ``sum``/``max``/``min``/``last`` (last = latest non-NULL) along each series.
 
@@ -144,9 +156,12 @@ def running(
     of the series; ``inclusive=False`` leaves the current row out.  ``df`` is read twice, so it
     should be a stored table with cheap expressions on top.  The block totals are themselves
     scanned in blocks, so after ``levels`` steps a window sees one row per
-    ``block_rows ** levels`` log rows.
+    ``block_rows ** levels`` log rows.  ``pieces=True`` takes the cut of :func:`ordered_pieces`
+    instead of an index; then a window over the totals sees one row per piece.
     """
     keys = list(keys)
+    if pieces:
+        index, levels = "_place", 1
     frame_end = 0 if inclusive else -1
     held = {out: _held(df, src) for out, (_, src) in aggregates.items()}
     direction = F.desc(index) if reverse else F.asc(index)
@@ -162,7 +177,7 @@ def running(
                 for out, (kind, src) in aggregates.items()
             }
         )
-    blocked = df.withColumn("_block", block_of(index, block_rows))
+    blocked = df.withColumn("_block", F.col("_piece") if pieces else block_of(index, block_rows))
     inside = (
         Window.partitionBy(*keys, "_block")
         .orderBy(direction)

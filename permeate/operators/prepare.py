@@ -95,20 +95,6 @@ def fill_gaps(
     return filled.join(flags.filter("has_gap"), list(keys), "left_semi").unionByName(untouched)
 
 
-def moving_average(
-    ordered: DataFrame,
-    columns: Sequence[str],
-    rows: int = 50,
-    keys: Sequence[str] = UNIT,
-    suffix: str = "_sma",
-    **blocks,
-) -> DataFrame:
-    """Mean of the last ``rows`` rows, from the first row on."""
-    near, w = frames(ordered, rows - 1, keys=keys, **blocks)
-    frame = w.rowsBetween(-(rows - 1), 0)
-    return own_rows(near.withColumns({f"{c}{suffix}": F.avg(c).over(frame) for c in columns}))
-
-
 def stride_sample(ordered: DataFrame, max_points: int = 10_000, keys: Sequence[str] = UNIT) -> DataFrame:
     """Every k-th row and the last one, k = rows per wanted point; short series stay whole.
 

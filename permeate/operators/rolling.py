@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from permeate.functions.missing import ratio
 from permeate.functions.timing import HOUR, SECOND, width
-from permeate.operators.ordering import UNIT, frames, own_rows, row_index, running
+from permeate.operators.ordering import UNIT, frames, ordered_pieces, own_rows, running
 
 # Readings are summed as decimals: adding a row and later taking it away again leaves no trace,
 # and the result does not depend on how the series was cut.
 _EXACT = "decimal(28,12)"
 
+_EVENT = ("_at", "_slot", "_kind", "_place", "_piece")
+
 
 def derivatives(
     ordered: DataFrame, columns: Sequence[str], keys: Sequence[str] = UNIT, suffix: str = "_derivative", **blocks
@@ -42,7 +44,7 @@ def _with_expiries(df: DataFrame, widths: Sequence[int], values: Sequence[str],
     events = events.withColumns(
         {c: F.when(is_row, F.col(c)) for c in df.columns if c not in kept}
     ).withColumn("_kind", is_row.cast("int"))
-    return row_index(events, keys, ("_at", "_kind", "seq"), index="_en", name="windows")
+    return ordered_pieces(events, keys, ("_at", "_kind", "seq"), "windows")
 
 
 def time_statistics(
@@ -51,7 +53,6 @@ def time_statistics(
     windows: Sequence[str] = ("6h", "12h", "24h"),
     statistics: Sequence[str] = ("mean", "std"),
     keys: Sequence[str] = UNIT,
-    **blocks,
 ) -> DataFrame:
     """Mean and sample deviation over the last 6/12/24 hours, ``(t - w, t]``, missing skipped.
 
@@ -71,9 +72,9 @@ def time_statistics(
                 square = (F.col(c) * F.col(c)).cast(_EXACT)
                 sources[f"_q_{c}_{label}"] = F.when(sign == 1, square).when(sign == -1, -square)
     sums = {f"_run{name}": ("sum", name) for name in sources}
-    rows = running(
-        events.withColumns(sources), sums, keys=keys, index="_en", **blocks
-    ).filter(F.col("_slot") == -1)
+    rows = running(events.withColumns(sources), sums, keys=keys, pieces=True).filter(
+        F.col("_slot") == -1
+    )
     out = {}
     for label in windows:
         for c in columns:
@@ -86,9 +87,7 @@ def time_statistics(
                 out[f"{c}_std_{label}"] = F.when(
                     n > 1, F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1))
                 )
-    return rows.withColumns(out).drop(
-        *sources, *sums, "_at", "_slot", "_kind", "_en"
-    )
+    return rows.withColumns(out).drop(*sources, *sums, *_EVENT)
 
 
 def rolling_slopes(
@@ -100,7 +99,7 @@ def rolling_slopes(
 ) -> DataFrame:
     """Mean over each window of the change per hour between neighbouring rows."""
     steps = derivatives(ordered, [column], keys, suffix="_step", **blocks)
-    out = time_statistics(steps, [f"{column}_step"], windows, ("mean",), keys, **blocks)
+    out = time_statistics(steps, [f"{column}_step"], windows, ("mean",), keys)
     return out.withColumnsRenamed(
         {f"{column}_step_mean_{w}": f"{column}_slope_{w}" for w in windows}
     ).drop(f"{column}_step")
@@ -122,12 +121,12 @@ def decline_from_window_start(
         F.col("rn") == 0, F.struct(F.col(column).alias("v"))
     )
     rows = running(
-        events.withColumn("_opens", first), {"_first": ("last", "_opens")}, keys=keys, index="_en", **blocks
+        events.withColumn("_opens", first), {"_first": ("last", "_opens")}, keys=keys, pieces=True
     ).filter(F.col("_slot") == -1)
     start = F.col("_first")["v"]
     return rows.withColumn(
         f"{column}_decline_{window}", ratio(start - F.col(column), start) * 100.0
-    ).drop("_first", "_opens", "_next", "_at", "_slot", "_kind", "_en")
+    ).drop("_first", "_opens", "_next", *_EVENT)
 
 
 def lag_features(
@@ -137,6 +136,70 @@ def lag_features(
     return own_rows(near.withColumns({f"{column}_lag_{k}": F.lag(column, k).over(w) for k in lags}))
 
 
+def _moving_sums(near: DataFrame, w: WindowSpec, columns: Sequence[str], sizes: Sequence[int], squares: bool) -> tuple[DataFrame, list[str]]:
+    """Count, sum (and sum of squares) over the last k rows, as differences of running sums.
+
+    The running sums restart in every block; ``near`` reaches back far enough for each k.
+    """
+    whole = w.rowsBetween(Window.unboundedPreceding, 0)
+    totals, moving = {}, {}
+    for c in columns:
+        totals[f"_c_{c}"] = F.count(c).over(whole)
+        totals[f"_s_{c}"] = F.sum(F.col(c).cast(_EXACT)).over(whole)
+        if squares:
+            totals[f"_q_{c}"] = F.sum((F.col(c) * F.col(c)).cast(_EXACT)).over(whole)
+    for name in totals:
+        for k in sizes:
+            gone = F.coalesce(F.lag(name, k).over(w), F.lit(0))
+            moving[f"{name}_{k}"] = (F.col(name) - gone).cast("double")
+    return near.withColumns(totals).withColumns(moving), [*totals, *moving]
+
+
+def _moving_extremes(near: DataFrame, w: WindowSpec, column: str, sizes: Sequence[int], kinds: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Minimum/maximum over the last k rows by doubling: the extreme of 2p rows is that of the
+    last p rows and of the p rows before them, so k rows take log2(k) steps.  Missing values are
+    skipped by ``least`` and ``greatest``."""
+    pick = {"min": F.least, "max": F.greatest}
+    reach, made, level = 1, [], {m: column for m in kinds}
+    levels = {1: dict(level)}
+    while reach * 2 <= max(sizes):
+        level = {m: f"_{m}_{reach * 2}" for m in kinds}
+        near = near.withColumns(
+            {
+                level[m]: F.coalesce(pick[m](F.col(p), F.lag(p, reach).over(w)), F.col(p), F.lag(p, reach).over(w))
+                for m, p in levels[reach].items()
+            }
+        )
+        reach *= 2
+        levels[reach] = level
+        made += level.values()
+    out = {}
+    for k in sizes:
+        p = max(r for r in levels if r <= k)
+        for m, name in levels[p].items():
+            earlier = F.lag(name, k - p).over(w) if k > p else F.col(name)
+            out[f"_{m}of_{k}"] = pick[m](F.col(name), earlier)
+    return near.withColumns(out), [*made, *out]
+
+
+def moving_average(
+    ordered: DataFrame,
+    columns: Sequence[str],
+    rows: int = 50,
+    keys: Sequence[str] = UNIT,
+    suffix: str = "_sma",
+    **blocks,
+) -> DataFrame:
+    """Mean of the last ``rows`` rows, from the first row on; missing readings are skipped."""
+    near, w = frames(ordered, rows, keys=keys, **blocks)
+    summed, made = _moving_sums(near, w, columns, [rows], squares=False)
+    return own_rows(
+        summed.withColumns(
+            {f"{c}{suffix}": ratio(F.col(f"_s_{c}_{rows}"), F.col(f"_c_{c}_{rows}")) for c in columns}
+        )
+    ).drop(*made)
+
+
 def row_statistics(
     ordered: DataFrame,
     column: str,
@@ -145,18 +208,35 @@ def row_statistics(
     keys: Sequence[str] = UNIT,
     **blocks,
 ) -> DataFrame:
-    """Mean, deviation, minimum and maximum over the last 12/72/288 rows."""
-    functions = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    near, w = frames(ordered, max(sizes) - 1, keys=keys, **blocks)
-    return own_rows(
-        near.withColumns(
-            {
-                f"{column}_roll_{s}_{k}": functions[s](column).over(w.rowsBetween(-(k - 1), 0))
-                for k in sizes
-                for s in statistics
-            }
-        )
-    )
+    """Mean, deviation, minimum and maximum over the last 12/72/288 rows.
+
+    The work per row does not grow with the number of rows in the frame (mean, deviation) or
+    grows with its logarithm (extremes).
+    """
+    near, w = frames(ordered, max(sizes), keys=keys, **blocks)
+    made: list[str] = []
+    if {"mean", "std"} & set(statistics):
+        near, names = _moving_sums(near, w, [column], sizes, squares="std" in statistics)
+        made += names
+    kinds = [m for m in ("min", "max") if m in statistics]
+    if kinds:
+        near, names = _moving_extremes(near, w, column, sizes, kinds)
+        made += names
+    out = {}
+    for k in sizes:
+        n, total = F.col(f"_c_{column}_{k}"), F.col(f"_s_{column}_{k}")
+        forms = {
+            "mean": lambda: ratio(total, n),
+            "std": lambda: F.when(
+                n > 1,
+                F.sqrt(F.greatest(F.col(f"_q_{column}_{k}") - total * total / n, F.lit(0.0)) / (n - 1)),
+            ),
+            "min": lambda: F.col(f"_minof_{k}"),
+            "max": lambda: F.col(f"_maxof_{k}"),
+        }
+        for s in statistics:
+            out[f"{column}_roll_{s}_{k}"] = forms[s]()
+    return own_rows(near.withColumns(out)).drop(*made)
 
 
 def edges(

@@ -25,7 +25,7 @@ from permeate.operators.fouling import add_decline, daily_low, fenced_daily_low,
 from permeate.operators.learning import tree_forecast
 from permeate.operators.ordering import row_index
 from permeate.operators.quality import band_filter, require_columns, stamp_gaps, validation_report
-from permeate.operators.rolling import derivatives, rolling_slopes, time_statistics
+from permeate.operators.rolling import derivatives, moving_average, rolling_slopes, time_statistics
 from permeate.schema import ALERT_LIMITS, REQUIRED, TARGETS, bands_for
 from permeate.sources.tables import save_json, save_parquet
 
@@ -102,7 +102,7 @@ def run(log: DataFrame, out: str, settings: Settings = Settings()) -> dict[str,
         good = good.filter(F.col("ts") >= F.lit(settings.start).cast("timestamp_ntz"))
     valid = put("valid", row_index(good))
     filled = prepare.fill_gaps(valid, list(bands), settings.fill_method, settings.max_gap_minutes)
-    processed = put("processed", prepare.moving_average(filled, list(bands), settings.average_rows))
+    processed = put("processed", moving_average(filled, list(bands), settings.average_rows))
     put("chart_series", charts.series(processed, list(bands), settings.max_points, settings.average_rows))
 
     analysed = [c for c in ANALYSED if c in bands]

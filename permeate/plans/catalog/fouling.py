@@ -6,10 +6,9 @@ from permeate.functions.regression import fit_lines, residual_std
 from permeate.functions.scalars import severity
 from permeate.functions.timing import DAY, micros
 from permeate.operators import fouling as f
-from permeate.operators.prepare import moving_average
 from permeate.operators.quality import band_filter
 from permeate.operators.quantiles import fence, group_quantiles
-from permeate.operators.rolling import derivatives
+from permeate.operators.rolling import derivatives, moving_average
 from permeate.plans.adapter import BANDS, LOG_SQL, ORDERED_SQL, ordered_log, prepared, sensor_log
 from permeate.plans.registry import query, rounded
 from permeate.schema import CHART_SLOPE_LIMITS, DECLINE_LIMITS

@@ -15,7 +15,7 @@ _ROLLS = ", ".join(
     for k in ml.SIZES
     for n, f in _STATS.items()
 )
-_CHECKED = ["tmp_lag_1", "tmp_lag_288", "tmp_roll_mean_12", "tmp_roll_std_72", "tmp_roll_min_288", "tmp_roll_max_12", "hour_sin", "time_numeric", "perm_tc"]
+_CHECKED = ["tmp_lag_1", "tmp_lag_288", "tmp_roll_mean_12", "tmp_roll_std_72", "tmp_roll_min_288", "tmp_roll_max_12", "hour_sin", "perm_tc"]
 FEATURES = ORDERED_SQL + f""", wide as (select unit_id, seq, us, rn, tmp, perm_tc, flux, recovery, specific_power, {_LAGS}, {_ROLLS},
     sin(2 * pi() * hour(ts) / 24) as hour_sin, (us - min(us) over (partition by unit_id)) / 1e6 as time_numeric
   from ordered window w as (partition by unit_id order by rn)),
@@ -30,12 +30,12 @@ def feature_rows(spark, sf):
 
 @query(
     "j13_features",
-    "select unit_id, seq, rn, rn < floor(n * 0.8e0) as is_train, " + ", ".join(f"round({c}, 5) as {c}" for c in _CHECKED) + " from complete",
+    "select unit_id, seq, rn, rn < floor(n * 0.8e0) as is_train, " + ", ".join(f"round({c}, 5) as {c}" for c in _CHECKED) + ", time_numeric from complete",
     FEATURES,
 )
 def features(spark, sf):
     return ml.split(ml.features(ordered_log(spark, sf), TARGET)).select(
-        "unit_id", "seq", "rn", "is_train", *rounded(*_CHECKED, digits=5)
+        "unit_id", "seq", "rn", "is_train", *rounded(*_CHECKED, digits=5), "time_numeric"
     )
 
 

@@ -2,6 +2,7 @@
 
 from permeate.functions.missing import drop_missing
 from permeate.operators import prepare as p
+from permeate.operators.rolling import moving_average
 from permeate.plans.adapter import ordered_log, sensor_log
 from permeate.plans.registry import query, rounded
 from permeate.storage import stage
@@ -72,9 +73,9 @@ def stride(spark, sf):
     f"""select unit_id, seq, round(avg(tmp) over {_W.format(49)}, 5) as tmp_sma,
     round(avg(recovery) over {_W.format(49)}, 5) as recovery_sma from ordered""",
 )
-def moving_average(spark, sf):
+def averages(spark, sf):
     log = _narrow(spark, sf, "tmp", "recovery")
-    return p.moving_average(log, ["tmp", "recovery"], 50).select("unit_id", "seq", *rounded("tmp_sma", "recovery_sma", digits=5))
+    return moving_average(log, ["tmp", "recovery"], 50).select("unit_id", "seq", *rounded("tmp_sma", "recovery_sma", digits=5))
 
 
 @query(
@@ -85,4 +86,4 @@ def moving_average(spark, sf):
 )
 def sample_average(spark, sf):
     sample = stage(p.stride_sample(_narrow(spark, sf, "tmp"), 300), "sample")
-    return p.moving_average(sample, ["tmp"], 50).select("unit_id", "seq", *rounded("tmp_sma"))
+    return moving_average(sample, ["tmp"], 50).select("unit_id", "seq", *rounded("tmp_sma"))
