@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from permeate.functions.missing import ratio
 from permeate.functions.timing import DAY, calendar_features, to_stamp
 from permeate.operators.forecast import Z
-from permeate.operators.ordering import UNIT, row_index, series_length
+from permeate.operators.ordering import UNIT, running, series_length
 from permeate.operators.rolling import lag_features, row_statistics, seconds_since_start
 from permeate.storage import stage
 
@@ -50,8 +50,9 @@ def features(
     rolled = row_statistics(lag_features(base, target, lags, keys, **blocks), target, sizes, keys=keys, **blocks)
     timed = seconds_since_start(rolled, keys).withColumns(calendar_features(to_stamp(F.col("us"))))
     names = feature_names(target, ordered.columns, lags, sizes, covariates)
-    complete = timed.drop("rn").dropna("any", subset=[target, *names])
-    return stage(row_index(complete, keys, name="features"), "features")
+    complete = stage(timed.dropna("any", subset=[target, *names]), "features")
+    numbered = running(complete.withColumn("_one", F.lit(1).cast("long")), {"_no": ("sum", "_one")}, keys, **blocks)
+    return numbered.withColumn("rn", F.col("_no") - 1).drop("_one", "_no")
 
 
 def split(feature_rows: DataFrame, test_share: float = 0.2, keys: Sequence[str] = UNIT) -> DataFrame:

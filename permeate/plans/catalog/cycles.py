@@ -6,7 +6,7 @@ from permeate.operators import cycles as c
 from permeate.operators.joins import interval_join, next_after
 from permeate.operators.ordering import row_index
 from permeate.operators.quality import band_filter, in_band
-from permeate.plans.adapter import BANDS, ORDERED_SQL, ordered_log, prepared, sensor_log
+from permeate.plans.adapter import BANDS, ORDERED_SQL, ordered_log, prepared
 from permeate.plans.registry import query, rounded, stamp_text
 from permeate.storage import stage
 
@@ -249,7 +249,7 @@ def statistics(spark, sf):
 )
 def intervals(spark, sf):
     spans = stage(c.filtration_periods(ordered_log(spark, sf)).select("unit_id", "period", "start_us", "end_us"), "spans")
-    rows = band_filter(sensor_log(spark, sf), BANDS).select("unit_id", "us", "seq")
+    rows = band_filter(ordered_log(spark, sf), BANDS).select("unit_id", "us", "seq")
     return interval_join(rows, spans).select("unit_id", "seq", "period")
 
 

@@ -7,7 +7,7 @@ from permeate.operators.charts import value_range
 from permeate.operators.forecast import forecast
 from permeate.operators.fouling import permeability_baseline, stable_start, tmp_slopes
 from permeate.operators.quality import band_filter
-from permeate.plans.adapter import BANDS, LOG_SQL, ORDERED_SQL, prepared, sensor_log
+from permeate.plans.adapter import BANDS, LOG_SQL, ORDERED_SQL, ordered_log, prepared, sensor_log
 from permeate.plans.catalog.cycles import (
     CLEANINGS,
     CYCLE_TABLE,
@@ -22,7 +22,7 @@ from permeate.plans.registry import query, rounded, stamp_text
 
 
 def good_rows(spark, sf):
-    return band_filter(sensor_log(spark, sf), BANDS)
+    return band_filter(ordered_log(spark, sf), BANDS)
 
 
 FIGURES = """figures as (select unit_id, avg(recovery) as avg_recovery, avg(specific_power) as avg_specific_power,

@@ -21,7 +21,7 @@ def keep(spark, sf):
 
 @query("b3_band_filter", "select unit_id, us, seq, tmp, perm_tc from ordered where good")
 def bands(spark, sf):
-    return q.band_filter(sensor_log(spark, sf), BANDS).select("unit_id", "us", "seq", "tmp", "perm_tc")
+    return q.band_filter(ordered_log(spark, sf), BANDS).select("unit_id", "us", "seq", "tmp", "perm_tc")
 
 
 @query("b4_from_stamp", f"select unit_id, us, seq, tmp from log where ts >= timestamp '{RANGE[0]}'", LOG_SQL)
@@ -108,7 +108,7 @@ _FIRST_FAIL = "coalesce(" + ", ".join(
     LOG_SQL,
 )
 def outliers(spark, sf):
-    return q.outlier_counts(sensor_log(spark, sf), BANDS)
+    return q.outlier_counts(ordered_log(spark, sf), BANDS)
 
 
 _GAPS = """, steps as (select unit_id, us, lag(us) over (partition by unit_id order by us, seq) as prev from log),
@@ -207,7 +207,7 @@ def durations(spark, sf):
     round(count(*) filter (good) * 100.0 / count(*), 6) as retention_percent from ordered group by 1""",
 )
 def retention(spark, sf):
-    return q.retention(sensor_log(spark, sf), BANDS).select(
+    return q.retention(ordered_log(spark, sf), BANDS).select(
         "unit_id", "rows_in", "rows_out", "rows_removed", *rounded("retention_percent")
     )
 
