@@ -9,7 +9,7 @@ from tests.compare import connect, difference
 
 DATA = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 # Too few rows for a day of samples, or for a model, at the smallest scale.
-MAY_BE_EMPTY = {"g8_candidate_windows", "g8_stable_window"}
+MAY_BE_EMPTY = {"g8_candidate_windows", "g8_stable_window", "j13_features"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 
