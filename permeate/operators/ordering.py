@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DataType, DecimalType
 
 from permeate.storage import stage
 
@@ -111,9 +111,8 @@ def own_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col("_block") == F.col("_home")).drop("_block", "_home")
 
 
-def _held(df: DataFrame, column: str) -> str:
+def _held(kind: DataType) -> str:
     """Type a running value is held in: decimals keep their scale, with room for long sums."""
-    kind = df.schema[column].dataType
     return f"decimal(36,{kind.scale})" if isinstance(kind, DecimalType) else kind.simpleString()
 
 
@@ -141,7 +140,7 @@ def _merge(kind: str, earlier: Column, here: Column) -> Column:
 
 def running(
     df: DataFrame,
-    aggregates: dict[str, tuple[str, str]],
+    aggregates: dict[str, tuple[str, str | Column]],
     keys: Sequence[str] = UNIT,
     index: str = "rn",
     reverse: bool = False,
@@ -152,8 +151,8 @@ def running(
 ) -> DataFrame:
     """Running ``sum``/``max``/``min``/``last`` (last = latest non-NULL) along each series.
 
-    ``aggregates`` maps the new column to (kind, source column).  ``reverse`` runs from the end
-    of the series; ``inclusive=False`` leaves the current row out.  ``df`` is read twice, so it
+    ``aggregates`` maps the new column to (kind, column or expression).  ``reverse`` runs from the
+    end of the series; ``inclusive=False`` leaves the current row out.  ``df`` is read twice, so it
     should be a stored table with cheap expressions on top.  The block totals are themselves
     scanned in blocks, so after ``levels`` steps a window sees one row per
     ``block_rows ** levels`` log rows.  ``pieces=True`` takes the cut of :func:`ordered_pieces`
@@ -163,42 +162,41 @@ def running(
     if pieces:
         index, levels = "_place", 1
     frame_end = 0 if inclusive else -1
-    held = {out: _held(df, src) for out, (_, src) in aggregates.items()}
     direction = F.desc(index) if reverse else F.asc(index)
+    values = {out: F.col(v) if isinstance(v, str) else v for out, (_, v) in aggregates.items()}
+    typed = df.select(*[v.alias(out) for out, v in values.items()]).schema
+    held = {out: _held(typed[out].dataType) for out in aggregates}
+
+    def over(window: WindowSpec) -> dict[str, Column]:
+        frame = window.orderBy(direction).rowsBetween(Window.unboundedPreceding, frame_end)
+        return {
+            out: _local(kind, F.col(f"_value_{out}")).over(frame).cast(held[out])
+            for out, (kind, _) in aggregates.items()
+        }
+
+    sources = {f"_value_{out}": v for out, v in values.items()}
     if levels == 0:
-        whole = (
-            Window.partitionBy(*keys)
-            .orderBy(direction)
-            .rowsBetween(Window.unboundedPreceding, frame_end)
-        )
-        return df.withColumns(
-            {
-                out: _local(kind, F.col(src)).over(whole).cast(held[out])
-                for out, (kind, src) in aggregates.items()
-            }
-        )
+        return df.withColumns(sources).withColumns(over(Window.partitionBy(*keys))).drop(*sources)
     blocked = df.withColumn("_block", F.col("_piece") if pieces else block_of(index, block_rows))
-    inside = (
-        Window.partitionBy(*keys, "_block")
-        .orderBy(direction)
-        .rowsBetween(Window.unboundedPreceding, frame_end)
-    )
-    local = blocked.withColumns(
-        {
-            out: _local(kind, F.col(src)).over(inside).cast(held[out])
-            for out, (kind, src) in aggregates.items()
-        }
+    # Rows are moved and sorted before the values are worked out, so only the columns of the
+    # table travel; the window below finds its rows in place.
+    local = (
+        blocked.repartition(*keys, "_block")
+        .sortWithinPartitions(*keys, "_block", direction)
+        .withColumns(sources)
+        .withColumns(over(Window.partitionBy(*keys, "_block")))
+        .drop(*sources)
     )
     totals = blocked.groupBy(*keys, "_block").agg(
         *[
             (
-                (F.min_by if reverse else F.max_by)(src, F.when(F.col(src).isNotNull(), F.col(index)))
+                (F.min_by if reverse else F.max_by)(values[out], F.when(values[out].isNotNull(), F.col(index)))
                 if kind == "last"
-                else _local(kind, F.col(src))
+                else _local(kind, values[out])
             )
             .cast(held[out])
             .alias(f"_carry_{out}")
-            for out, (kind, src) in aggregates.items()
+            for out, (kind, _) in aggregates.items()
         ]
     )
     carried = running(

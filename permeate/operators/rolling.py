@@ -61,7 +61,7 @@ def time_statistics(
     """
     widths = [width(w) for w in windows]
     events = _with_expiries(df, widths, columns, keys)
-    sums, sources = {}, {}
+    sources = {}
     for i, label in enumerate(windows):
         sign = F.when(F.col("_slot") == -1, 1).when(F.col("_slot") == i, -1)
         for c in columns:
@@ -71,10 +71,8 @@ def time_statistics(
             if "std" in statistics:
                 square = (F.col(c) * F.col(c)).cast(_EXACT)
                 sources[f"_q_{c}_{label}"] = F.when(sign == 1, square).when(sign == -1, -square)
-    sums = {f"_run{name}": ("sum", name) for name in sources}
-    rows = running(events.withColumns(sources), sums, keys=keys, pieces=True).filter(
-        F.col("_slot") == -1
-    )
+    sums = {f"_run{name}": ("sum", value) for name, value in sources.items()}
+    rows = running(events, sums, keys=keys, pieces=True).filter(F.col("_slot") == -1)
     out = {}
     for label in windows:
         for c in columns:
@@ -87,7 +85,7 @@ def time_statistics(
                 out[f"{c}_std_{label}"] = F.when(
                     n > 1, F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1))
                 )
-    return rows.withColumns(out).drop(*sources, *sums, *_EVENT)
+    return rows.withColumns(out).drop(*sums, *_EVENT)
 
 
 def rolling_slopes(
