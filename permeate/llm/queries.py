@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from permeate.llm import mixing, sharding
+from permeate.llm import decontaminate, jaccard, mixing, sharding
 from permeate.llm.tables import table
 
 QUERIES: dict = {}
@@ -21,6 +21,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op5_decontamination", decontaminate.SQL)
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.report(docs, benchmark)
+
+
+@query("op8_ngram_jaccard", jaccard.SQL)
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 @query("op9_source_mix", mixing.SQL)
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.documents_mixed(table(spark, sf_dir, "documents"))
