@@ -118,17 +118,17 @@ def _segments(data, offsets, numbers, known, fragments, buckets) -> Iterator[tup
 def _shared(fragments: int, buckets: int):
     """A fragment -> per bucket of sets, their n-grams that are in other sets too, and in how many."""
 
-    def shared(key, group: pa.Table) -> pa.Table:
+    def shared(key, group):
         k = key[0].as_py()
         if k >= fragments:
             return group
         names = np.concatenate([np.frombuffer(x, np.uint64) for x in group.column("sets").to_pylist()])
-        sizes = np.concatenate([np.frombuffer(x, np.uint32) for x in group.column("sizes").to_pylist()])
+        sizes = np.concatenate([np.frombuffer(x, np.uint32) for x in group.column("sizes").to_pylist()]).astype(np.int64)
         grams = np.concatenate([np.frombuffer(x, np.uint64) for x in group.column("grams").to_pylist()])
         # A set comes once from each batch that holds a copy of it.
         begins = np.cumsum(sizes) - sizes
         names, first = np.unique(names, return_index=True)
-        sizes, begins = sizes[first].astype(np.int64), begins[first]
+        sizes, begins = sizes[first], begins[first]
         at = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
         grams, owner = grams[at], np.repeat(np.arange(len(names)), sizes)
         order = np.argsort(grams)
@@ -169,7 +169,7 @@ def _documents(row: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=_FOUND)
 
 
-def _gathered(key, group: pa.Table) -> pa.Table:
+def _gathered(key, group):
     """Rows of documents; of a bucket of sets, a row per set that may link with another one, with
     its shared n-grams in the global order."""
     docs, sets, sizes, names, lengths, grams, counts = [], [], [], [], [], [], []
@@ -367,16 +367,16 @@ grams as (
   select distinct doc_id, array_to_string(w[i : i + 4], ' ') as g
   from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from w where len(w) > 0)),
 sizes as (select doc_id, count(*) as n from grams group by doc_id),
-overlaps as (
+common as (
   select x.doc_id as a, y.doc_id as b, count(*) as k
   from grams x join grams y on x.g = y.g and x.doc_id < y.doc_id group by 1, 2),
 linked as (
-  select a, b from overlaps join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+  select a, b from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b
   where 100 * k >= 80 * (p.n + q.n - k)),
-both as (select a, b from linked union all select b, a from linked),
+ways as (select a, b from linked union all select b, a from linked),
 reach as (
   select doc_id, doc_id as at from w
-  union select reach.doc_id, both.b from reach join both on both.a = reach.at)
+  union select reach.doc_id, ways.b from reach join ways on ways.a = reach.at)
 select w.doc_id, coalesce(n, 0)::bigint as n_shingles, r.component_id
 from w left join sizes using (doc_id)
   join (select doc_id, min(at) as component_id from reach group by doc_id) r using (doc_id)

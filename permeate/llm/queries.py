@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from permeate.llm import decontaminate, jaccard, mixing, sharding
+from permeate.llm import decontaminate, jaccard, langid, mixing, sharding
 from permeate.llm.tables import table
 
 QUERIES: dict = {}
@@ -27,6 +27,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(docs, benchmark)
 
 
+@query("op7_language")
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 @query("op8_ngram_jaccard", jaccard.SQL)
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
