@@ -375,9 +375,9 @@ linked as (
   where 100 * k >= 80 * (p.n + q.n - k)),
 ways as (select a, b from linked union all select b, a from linked),
 reach as (
-  select doc_id, doc_id as at from w
-  union select reach.doc_id, ways.b from reach join ways on ways.a = reach.at)
+  select doc_id, doc_id as node from w
+  union select reach.doc_id, ways.b from reach join ways on ways.a = reach.node)
 select w.doc_id, coalesce(n, 0)::bigint as n_shingles, r.component_id
 from w left join sizes using (doc_id)
-  join (select doc_id, min(at) as component_id from reach group by doc_id) r using (doc_id)
+  join (select doc_id, min(node) as component_id from reach group by doc_id) r using (doc_id)
 """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from permeate.llm import decontaminate, jaccard, langid, mixing, sharding
+from permeate.llm import decontaminate, jaccard, langid, mixing, sharding, warc
 from permeate.llm.tables import table
 
 QUERIES: dict = {}
@@ -21,6 +21,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op3_warc", warc.SQL)
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.pages_archived(table(spark, sf_dir, "pages"))
+
+
 @query("op5_decontamination", decontaminate.SQL)
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
