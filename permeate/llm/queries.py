@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from permeate.llm import decontaminate, jaccard, langid, mixing, sharding, warc
+from permeate.llm import decontaminate, jaccard, langid, lm, mixing, sharding, warc
 from permeate.llm.tables import table
 
 QUERIES: dict = {}
@@ -26,6 +26,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.pages_archived(table(spark, sf_dir, "pages"))
 
 
+@query("op4_lm_scores")
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"))
+
+
 @query("op5_decontamination", decontaminate.SQL)
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
