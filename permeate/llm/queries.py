@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from permeate.llm import decontaminate, jaccard, langid, lm, mixing, sharding, warc
+from permeate.llm import decontaminate, editprint, jaccard, langid, lm, mixing, sharding, warc
 from permeate.llm.tables import table
 
 QUERIES: dict = {}
@@ -37,6 +37,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(docs, benchmark)
 
 
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query("op7_language")
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
