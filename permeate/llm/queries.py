@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from permeate.llm import decontaminate, editprint, jaccard, langid, lm, mixing, quality, sharding, warc
+from permeate.llm import decontaminate, editprint, jaccard, langid, lines, lm, mixing, quality, sharding, warc
 from permeate.llm.tables import table
 
 QUERIES: dict = {}
@@ -21,6 +21,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduped(table(spark, sf_dir, "documents"))
+
+
 @query("op2_quality")
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
