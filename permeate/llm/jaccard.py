@@ -9,8 +9,10 @@ are found exactly, in five steps.
 2. A document of n n-grams needs ceil(0.8 n) shared ones to link with a different set; the others
    are out. The global order is (count, hash): rare n-grams first. Two sets that link share an
    n-gram among the first n - ceil(0.8 n) + 1 of either, so only those meet.
-3. Where they meet, each document is first paired with one hub per n-gram, and the links found are
-   contracted. What is still apart and could link by size and position is then paired in full.
+3. In each of a few rounds a document is paired with one hub, that of the n-gram where most meet,
+   and the links found are contracted. What is still apart and could link by size and position is
+   then paired in full, unless n-grams of one set alone and a parity of n-grams by class show that
+   too many differ.
    Copies are thus not expanded into all pairs, and no link between components is lost.
 4. A pair's overlap is counted in each fragment of the global order on its own and summed.
 5. Components by union-find; all documents of a set take part with their smallest id.
@@ -41,6 +43,7 @@ SHARE, SHARE_OF = 80, 100
 FRAGMENT_BYTES = 14 << 20
 EMIT_BYTES = 8 << 20
 HUB_ROUNDS = 2
+PARITY_WORDS = 8
 #: Cuts of the global order for the counts of step 4: by count, the rarest further by hash.
 RARE_CUTS = 4
 
@@ -151,8 +154,15 @@ def _shared(fragments: int, buckets: int):
     return shared
 
 
-_FOUND = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("set", pa.int64()), ("n", pa.int64()), ("grams", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))])
-_SQL_FOUND = "kind string, doc_id long, set long, n long, grams array<long>, counts array<int>"
+_FOUND = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("set", pa.int64()), ("n", pa.int64()), ("grams", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("bits", pa.list_(pa.int64()))])
+_SQL_FOUND = "kind string, doc_id long, set long, n long, grams array<long>, counts array<int>, bits array<long>"
+
+
+def _parities(grams: np.ndarray) -> np.ndarray:
+    """A bit per class of n-grams: whether their number is odd. Two sets differ in at least as many
+    n-grams as in bits."""
+    odd = np.bincount((grams & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _documents(row: dict) -> pa.RecordBatch:
@@ -165,6 +175,7 @@ def _documents(row: dict) -> pa.RecordBatch:
         pa.array(np.where(known, sizes, -1 - sizes)),
         pa.nulls(len(ids), _FOUND.field("grams").type),
         pa.nulls(len(ids), _FOUND.field("counts").type),
+        pa.nulls(len(ids), _FOUND.field("bits").type),
     ]
     return pa.RecordBatch.from_arrays(columns, schema=_FOUND)
 
@@ -196,12 +207,12 @@ def _gathered(key, group):
         for a, b in zip(new.tolist(), np.append(new[1:], len(owner)).tolist(), strict=True):
             n = n_of[int(owner[a])]
             if b - a >= _least(n):
-                rows.append((int(owner[a].view(np.int64)), n, grams[a:b].view(np.int64), counts[a:b].astype(np.int32)))
+                rows.append((int(owner[a].view(np.int64)), n, grams[a:b].view(np.int64), counts[a:b].astype(np.int32), _parities(grams[a:b])))
         if rows:
-            s, n, g, c = zip(*rows, strict=True)
+            s, n, g, c, w = zip(*rows, strict=True)
             out.append(
                 pa.RecordBatch.from_arrays(
-                    [pa.array(["set"] * len(s)), pa.nulls(len(s), pa.int64()), pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array(g, pa.list_(pa.int64())), pa.array(c, pa.list_(pa.int32()))],
+                    [pa.array(["set"] * len(s)), pa.nulls(len(s), pa.int64()), pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array(g, pa.list_(pa.int64())), pa.array(c, pa.list_(pa.int32())), pa.array(w, pa.list_(pa.int64()))],
                     schema=_FOUND,
                 )
             )
@@ -230,10 +241,10 @@ def _fragment(grams: Column, counts: Column) -> Column:
         rare = F.shiftright(x["g"], 62) + (RARE_CUTS // 2)
         return F.when(x["c"] == 2, rare).when(x["c"] <= 4, RARE_CUTS).otherwise(RARE_CUTS + 1)
 
-    cuts = [
-        F.struct(F.lit(k).alias("fragment"), F.transform(F.filter(both, lambda x, k=k: place(x) == k), lambda x: x["g"]).alias("part"))
-        for k in range(RARE_CUTS + 2)
-    ]
+    def part(k: int) -> Column:
+        return F.transform(F.filter(both, lambda x: place(x) == k), lambda x: x["g"])
+
+    cuts = [F.struct(F.lit(k).alias("fragment"), part(k).alias("part")) for k in range(RARE_CUTS + 2)]
     return F.filter(F.array(*cuts), lambda s: F.size(s["part"]) > 0)
 
 
@@ -273,26 +284,36 @@ def links(found: DataFrame) -> DataFrame:
     for turn in range(HUB_ROUNDS):
         at = _labelled(meeting, known)
         rank = F.struct(F.xxhash64("set", F.lit(turn)).alias("h"), F.col("set").alias("b"), F.col("n").alias("m"), F.col("label").alias("hub_label"))
-        hubs = at.groupBy("gram").agg(F.min(rank).alias("hub"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-        hubs = hubs.where("lo <> hi").select("gram", "hub.b", "hub.m", "hub.hub_label")
+        hubs = at.groupBy("gram").agg(F.min(rank).alias("hub"), F.count("*").alias("met"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        hubs = hubs.where("lo <> hi").select("gram", "met", "hub.b", "hub.m", "hub.hub_label")
+        # One pair per set and round: the hub of the n-gram at which most sets meet.
+        most = F.struct("met", F.xxhash64("gram", F.lit(turn)), "b", "m")
         pairs = (
             at.join(hubs, "gram")
             .where(F.col("label") != F.col("hub_label"))
             .where(_could_link(F.col("n"), F.col("m")))
-            .select(F.col("set").alias("a"), "b", "n", "m")
-            .distinct()
+            .groupBy("set", "n")
+            .agg(F.max(most).alias("hub"))
+            .select(F.col("set").alias("a"), "hub.b", "n", "hub.m")
         )
         known = _joined(known, verified(stored(pairs, f"hub-pairs{turn}"), parts, sets), turn)
     at = _labelled(meeting, known)
     apart = at.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
-    at = stored(at.join(apart, "gram"), "ngram-apart")
+    words = [F.get("bits", F.lit(i)).alias(f"w{i}") for i in range(PARITY_WORDS)]
+    known_of = found.where("kind = 'set'").select("set", (n - shared).alias("alone"), *words)
+    at = stored(at.join(apart, "gram").join(known_of, "set"), "ngram-apart")
     one, two = at.alias("x"), at.alias("y")
     need = F.ceil((F.col("x.n") + F.col("y.n")) * SHARE / (SHARE + SHARE_OF))
+    # N-grams of no other set, and odd classes, tell how many n-grams differ at least.
+    differ = F.col("x.alone") + F.col("y.alone")
+    for i in range(PARITY_WORDS):
+        differ = differ + F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}")))
     pairs = (
         one.join(two, F.col("x.gram") == F.col("y.gram"))
         .where("x.set < y.set and x.label <> y.label")
         .where(_could_link(F.col("x.n"), F.col("y.n")))
         .where(F.least("x.rest", "y.rest") >= need)
+        .where(differ * (SHARE_OF + SHARE) <= (F.col("x.n") + F.col("y.n")) * (SHARE_OF - SHARE))
         .selectExpr("x.set as a", "y.set as b", "x.n as n", "y.n as m")
         .distinct()
     )

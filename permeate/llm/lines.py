@@ -50,6 +50,10 @@ def _hashed(pieces: Column) -> Column:
     return F.transform(pieces, lambda p: F.xxhash64(p))
 
 
+def _least(hashes: str, order: int) -> Column:
+    return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(order))))
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, place, norm of every line that is not blank."""
     plain = pick(docs, "doc_id", "text").where("doc_id is not null")
@@ -67,7 +71,7 @@ def _signed(lines: DataFrame) -> DataFrame:
         "doc_id",
         "place",
         F.xxhash64("norm").alias("line"),
-        *[F.array_min(F.transform("hashes", lambda h, c=c: h.bitwiseXOR(F.lit(c)))).alias(f"m{i}") for i, c in enumerate(_ORDERS)],
+        *[_least("hashes", order).alias(f"m{i}") for i, order in enumerate(_ORDERS)],
     )
     bands = [F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]).alias(f"b{b}") for b in range(BANDS)]
     return least.select("doc_id", "place", "line", *bands)
