@@ -37,8 +37,12 @@ LEADS = "aiou0-9\\u0250-\\x{10FFFF}"
 _ORDERS = [int(x) for x in np.random.default_rng(3).integers(-(1 << 63), (1 << 63) - 1, BANDS * ROWS)]
 
 
+def _bare(line: Column) -> Column:
+    return F.trim(line, F.lit(" \t\r\x0b\x0c"))
+
+
 def _norm(line: Column) -> Column:
-    return F.lower(F.trim(line))
+    return F.lower(_bare(line))
 
 
 def _pieces(norm: Column, lead: str = "") -> Column:
@@ -130,7 +134,7 @@ def deduped(docs: DataFrame) -> DataFrame:
     kept = F.when(F.col("places").isNull(), F.col("lines")).otherwise(F.transform(stay, lambda i: F.get(F.col("lines"), i)))
 
     def counted(lines: Column) -> Column:
-        return F.coalesce(F.size(F.filter(lines, lambda x: F.trim(x) != "")), F.lit(0)).cast("long")
+        return F.coalesce(F.size(F.filter(lines, lambda x: _bare(x) != "")), F.lit(0)).cast("long")
 
     return joined.withColumn("kept", kept).select(
         "doc_id",

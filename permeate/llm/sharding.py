@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from permeate.llm.tables import BROADCAST_ROWS, numbered, pick, stored
 
 SHARDS = 8
-ROUNDS = 4
+ROUNDS = 5
+#: How far above its share of rows a shard may go while labels are propagated.
+SLACK = 1.1
 #: A unit holds at most this part of a shard, and at most so many rows.
 UNIT_PART = 64
 UNIT_ROWS = 4096
@@ -42,16 +44,28 @@ def documents(docs: DataFrame) -> DataFrame:
 
 
 def _pick_flows(wishes: list, load: list[int], quota: list[int]) -> dict:
-    """(from, to, bin) -> the part of those units that may move; best gains first, quotas kept."""
-    free = [q - n for q, n in zip(quota, load, strict=True)]
+    """(from, to, bin) -> the part of those units that may move; best gains first.
+
+    As many rows as wish to go the opposite way may be swapped; beyond that a shard takes rows up
+    to ``SLACK`` above its quota. What is above it in the end goes with the rows that fill up.
+    """
+    n = len(quota)
+    wished = [[0] * n for _ in range(n)]
+    for source, to, _, rows in wishes:
+        wished[source][to] += rows
+    allowed = [[min(wished[i][j], wished[j][i]) for j in range(n)] for i in range(n)]
+    free = [int(q * SLACK) - rows for q, rows in zip(quota, load, strict=True)]
+    for source, to in sorted(((i, j) for i in range(n) for j in range(n)), key=lambda x: allowed[x[0]][x[1]] - wished[x[0]][x[1]]):
+        more = max(0, min(wished[source][to] - allowed[source][to], free[to]))
+        allowed[source][to] += more
+        free[to] -= more
+        free[source] += more
     parts = {}
     for source, to, gain, rows in sorted(wishes, key=lambda w: (-w[2], w[0], w[1])):
-        part = max(0.0, min(1.0, free[to] / rows)) if rows else 0.0
-        if part:
-            parts[source, to, gain] = part
-            moved = int(rows * part)
-            free[to] -= moved
-            free[source] += moved
+        take = min(rows, allowed[source][to])
+        allowed[source][to] -= take
+        if take:
+            parts[source, to, gain] = take / rows
     return parts
 
 
@@ -71,7 +85,7 @@ def propagate(units: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataF
         load = [0] * n
         for shard, rows in held.groupBy("shard").agg(F.sum("rows")).collect():
             load[shard] = rows
-        open_shards = [s for s in range(n) if load[s] < quota[s]]
+        open_shards = [s for s in range(n) if load[s] < quota[s] * SLACK]
         tally = held.groupBy("grp", "shard").agg(F.sum("rows").alias("here"))
         full = F.when(F.col("shard").isin(open_shards), 0).otherwise(1)
         rank = F.struct(F.lit(0) - full, F.col("here"), F.xxhash64("grp", "shard"), F.col("shard"))
