@@ -56,7 +56,7 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     inside = at < offsets[1:][row][:, None]
     if not len(data):
         return np.full(at.shape, _PAD, np.int16), first
-    return np.where(inside, data[np.minimum(at, len(data) - 1)], _PAD).astype(np.int16), first
+    return np.where(inside, data[np.minimum(at, len(data) - 1)].astype(np.int16), np.int16(_PAD)), first
 
 
 class Network:
