@@ -44,7 +44,7 @@ NO_ID = "none"
 
 LEAST = 0
 LEVEL = 3
-#: The dictionary is made from at most so many pages of a bounded length; see ``dictionary``.
+#: The dictionary is made from about so many pages of a bounded length; see ``dictionary``.
 SAMPLE_PAGES = 200
 SAMPLE_BYTES = 8 << 10
 DICTIONARY_BYTES = 32 << 10
@@ -147,16 +147,13 @@ def parse(data: bytes, where: str) -> dict:
 
 
 def dictionary(pages: DataFrame) -> bytes:
-    """A zstandard dictionary from pages of least hash: at most ``SAMPLE_PAGES`` pages, of each at
+    """A zstandard dictionary from pages of least hash: about ``SAMPLE_PAGES`` pages, of each at
     most ``SAMPLE_BYTES``. Too few pages for training give their joined text as a raw dictionary."""
-    order = F.xxhash64("page_id", "html")
-    sample = (
-        pages.where("octet_length(html) > 0")
-        .select(order.alias("h"), F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("part"))
-        .orderBy("h", "part")
-        .limit(SAMPLE_PAGES)
-        .collect()
-    )
+    pages = pages.where("octet_length(html) > 0")
+    h = F.pmod(F.xxhash64("page_id", F.octet_length("html")), F.lit(1 << 30))
+    limit = (1 << 30) * min(1.0, SAMPLE_PAGES / max(1, pages.count()))
+    drawn = pages.where(h <= int(limit)).select(h.alias("h"), F.substring(F.col("html").cast("binary"), 1, SAMPLE_BYTES).alias("part"))
+    sample = sorted(drawn.collect(), key=lambda r: (r.h, bytes(r.part)))
     parts = [bytes(r.part) for r in sample]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes()
