@@ -49,8 +49,8 @@ def linked(meeting: DataFrame, verify, could=None, rounds: int = 2) -> DataFrame
     """Links (a, b) that connect all that ``verify`` would link of the nodes that meet in a key.
 
     ``meeting`` has key, node and what ``could`` looks at. In each round every node is held against
-    one hub per key, and the links found are contracted; what is then still apart is paired in
-    full. ``verify`` gets pairs (a, b) and gives those that link; ``could(x, y)`` may rule pairs out.
+    one hub, that of the key where most meet, and the links found are contracted; what is then
+    still apart is paired in full. ``verify`` gets pairs (a, b) and gives those that link; ``could(x, y)`` may rule pairs out.
     """
     known = None
 
@@ -64,15 +64,22 @@ def linked(meeting: DataFrame, verify, could=None, rounds: int = 2) -> DataFrame
             at = meeting.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
         spread = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
         at = stored(at.join(spread, "key"), f"meeting{turn}")
-        other = at
         if turn < rounds:
-            first = F.min_by(F.struct(*at.columns), F.struct(F.xxhash64("node", F.lit(turn)), F.col("node")))
-            other = at.groupBy("key").agg(first.alias("hub")).select("hub.*")
+            rank = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"))
+            hubs = at.groupBy("key").agg(F.count("*").alias("met"), F.min_by(F.struct(*at.columns), rank).alias("hub"))
+            other = hubs.select("hub.*", "met")
+        else:
+            other = at
         pairs = at.alias("x").join(other.alias("y"), F.col("x.key") == F.col("y.key"))
         pairs = pairs.where("x.label <> y.label").where(allowed("x", "y"))
-        if turn == rounds:
-            pairs = pairs.where("x.node < y.node")
-        pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        if turn < rounds:
+            # One pair per node and round: the hub of the key at which most meet.
+            most = F.struct("y.met", F.xxhash64("y.key", F.lit(turn)), F.col("y.node").alias("hub"))
+            pairs = pairs.groupBy(F.col("x.node").alias("node")).agg(F.max(most).alias("best"))
+            pairs = pairs.select("node", F.col("best.hub").alias("hub"))
+        else:
+            pairs = pairs.where("x.node < y.node").select(F.col("x.node").alias("node"), F.col("y.node").alias("hub"))
+        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         new = verify(stored(pairs, f"pairs{turn}")).select("a", "b")
         known = stored(new if known is None else known.unionByName(new), f"known{turn}")
     return known
