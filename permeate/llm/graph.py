@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from permeate.llm.tables import stored
+from permeate.llm.tables import gathered, stored
 
 MOST_ROUNDS = 60
 
@@ -22,7 +22,9 @@ def components(edges: DataFrame) -> DataFrame:
     ones; minima are combined before the shuffle, and a node of many links is split by the
     engine's skew join. Each round is written, so a lost executor repeats one round at most.
     """
-    links = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    given = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    rows = given.count()
+    links = stored(gathered(given.distinct(), rows), "links")
     last = None
     for turn in range(MOST_ROUNDS):
         least = links.groupBy("b").agg(F.lit(1)).select(F.col("b").alias("a"))  # nodes that others hang on
@@ -36,10 +38,11 @@ def components(edges: DataFrame) -> DataFrame:
         near = _both_ways(links)
         smallest = near.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
         large = near.where("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(large.where("a <> b").distinct(), f"large{turn}")
+        large = stored(gathered(large.where("a <> b").distinct(), 2 * rows), f"large{turn}")
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        links = stored(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct(), f"links{turn}")
+        small = small.unionByName(lowest.select("a", F.col("m").alias("b")))
+        links = stored(gathered(small.distinct(), 2 * rows), f"links{turn}")
     else:
         raise RuntimeError("components did not settle")
     return links.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
@@ -52,7 +55,7 @@ def linked(meeting: DataFrame, verify, could=None, rounds: int = 2) -> DataFrame
     one hub, that of the key where most meet, and the links found are contracted; what is then
     still apart is paired in full. ``verify`` gets pairs (a, b) and gives those that link; ``could(x, y)`` may rule pairs out.
     """
-    known = None
+    known, rows = None, meeting.count()
 
     def allowed(x: str, y: str):
         return could(x, y) if could else F.lit(True)
@@ -63,7 +66,7 @@ def linked(meeting: DataFrame, verify, could=None, rounds: int = 2) -> DataFrame
             labels = components(known)
             at = meeting.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
         spread = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-        at = stored(at.join(spread, "key"), f"meeting{turn}")
+        at = stored(gathered(at.join(spread, "key"), rows), f"meeting{turn}")
         if turn < rounds:
             rank = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"))
             hubs = at.groupBy("key").agg(F.count("*").alias("met"), F.min_by(F.struct(*at.columns), rank).alias("hub"))
@@ -80,6 +83,8 @@ def linked(meeting: DataFrame, verify, could=None, rounds: int = 2) -> DataFrame
         else:
             pairs = pairs.where("x.node < y.node").select(F.col("x.node").alias("node"), F.col("y.node").alias("hub"))
         pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        if turn < rounds:
+            pairs = gathered(pairs, rows)
         new = verify(stored(pairs, f"pairs{turn}")).select("a", "b")
-        known = stored(new if known is None else known.unionByName(new), f"known{turn}")
+        known = stored(gathered(new if known is None else known.unionByName(new), rows), f"known{turn}")
     return known

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from permeate.llm.graph import components
-from permeate.llm.tables import BROADCAST_ROWS, groups_for, pick, stored
+from permeate.llm.tables import BROADCAST_ROWS, gathered, groups_for, pick, stored
 from permeate.llm.words import SPACED, flat, pieces, sets_of_runs, words
 
 RUN = 5
@@ -280,9 +280,9 @@ def links(found: DataFrame) -> DataFrame:
         .select("gram", "set", "n", "rest"),
         "ngram-front",
     )
-    known = None
+    known, rows = None, meeting.count()
     for turn in range(HUB_ROUNDS):
-        at = _labelled(meeting, known)
+        at = _labelled(meeting, known, rows)
         rank = F.struct(F.xxhash64("set", F.lit(turn)).alias("h"), F.col("set").alias("b"), F.col("n").alias("m"), F.col("label").alias("hub_label"))
         hubs = at.groupBy("gram").agg(F.min(rank).alias("hub"), F.count("*").alias("met"), F.min("label").alias("lo"), F.max("label").alias("hi"))
         hubs = hubs.where("lo <> hi").select("gram", "met", "hub.b", "hub.m", "hub.hub_label")
@@ -296,12 +296,13 @@ def links(found: DataFrame) -> DataFrame:
             .agg(F.max(most).alias("hub"))
             .select(F.col("set").alias("a"), "hub.b", "n", "hub.m")
         )
-        known = _joined(known, verified(stored(pairs, f"hub-pairs{turn}"), parts, sets), turn)
-    at = _labelled(meeting, known)
+        pairs = stored(gathered(pairs, rows), f"hub-pairs{turn}")
+        known = _joined(known, gathered(verified(pairs, parts, sets), rows), turn)
+    at = _labelled(meeting, known, rows)
     apart = at.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
     words = [F.get("bits", F.lit(i)).alias(f"w{i}") for i in range(PARITY_WORDS)]
     known_of = found.where("kind = 'set'").select("set", (n - shared).alias("alone"), *words)
-    at = stored(at.join(apart, "gram").join(known_of, "set"), "ngram-apart")
+    at = stored(gathered(at.join(apart, "gram").join(known_of, "set"), rows), "ngram-apart")
     one, two = at.alias("x"), at.alias("y")
     need = F.ceil((F.col("x.n") + F.col("y.n")) * SHARE / (SHARE + SHARE_OF))
     # N-grams of no other set, and odd classes, tell how many n-grams differ at least.
@@ -320,14 +321,12 @@ def links(found: DataFrame) -> DataFrame:
     return _joined(known, verified(stored(pairs, "ngram-pairs"), parts, sets), HUB_ROUNDS)
 
 
-def _labelled(meeting: DataFrame, known: DataFrame | None) -> DataFrame:
+def _labelled(meeting: DataFrame, known: DataFrame | None, rows: int) -> DataFrame:
     if known is None:
         return meeting.withColumn("label", F.col("set"))
     labels = components(known).withColumnRenamed("node", "set")
-    return stored(
-        meeting.join(labels, "set", "left").withColumn("label", F.coalesce("component", "set")).drop("component"),
-        "ngram-labels",
-    )
+    labelled = meeting.join(labels, "set", "left").withColumn("label", F.coalesce("component", "set"))
+    return stored(gathered(labelled.drop("component"), rows), "ngram-labels")
 
 
 def _joined(known: DataFrame | None, new: DataFrame, turn: int) -> DataFrame:

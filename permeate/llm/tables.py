@@ -11,6 +11,8 @@ from permeate.storage import stage
 
 #: A side of a join is broadcast only if its counted rows are at most so many (ids and numbers only).
 BROADCAST_ROWS = 500_000
+#: A task is worth so many narrow rows.
+ROWS_A_TASK = 200_000
 _INDEX_BITS = 33  # monotonically_increasing_id() holds the row's place in its partition below these
 
 
@@ -34,6 +36,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return stage(df, f"llm-{name}")
 
 
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in as many partitions as ``rows``, its number of rows or a bound of it, are worth."""
+    worth = max(4, rows // ROWS_A_TASK)
+    return df.coalesce(worth) if worth < parts(df.sparkSession) else df
+
+
 def small(df: DataFrame) -> DataFrame:
     """Hint a stored table for broadcast if its counted rows are few; else leave the join to Spark."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
