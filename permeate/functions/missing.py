@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 
+def finite(value: Column) -> Column:
+    """The reading, NULL where it is NaN or infinite."""
+    number = value.cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
+    """Readings that are no numbers, or infinite, are missing."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (DoubleType, FloatType))]
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in floats})
+    return df.withColumns({c: finite(F.col(c)) for c in floats})
 
 
 def ratio(top: Column, bottom: Column) -> Column:

@@ -10,6 +10,9 @@ MINUTE = 60 * SECOND
 HOUR = 3600 * SECOND
 DAY = 24 * HOUR
 
+#: Fixed value: what a stamp looks like, the fraction being set off by a point.
+STAMP = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d+)?$"
+
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 _PER_UNIT = {"seconds": SECOND, "minutes": MINUTE, "hours": HOUR, "days": DAY}
 _SUFFIX = {"s": SECOND, "min": MINUTE, "m": MINUTE, "h": HOUR, "d": DAY}
@@ -18,9 +21,10 @@ _SUFFIX = {"s": SECOND, "min": MINUTE, "m": MINUTE, "h": HOUR, "d": DAY}
 def parse_stamp(raw: Column) -> Column:
     """Logger stamp ``2026-01-28 03:30:04 48`` (blank before the fraction) to TIMESTAMP_NTZ.
 
-    A stamp that cannot be read becomes NULL.
+    A stamp that does not have date, time and at most a fraction, or is no instant, becomes NULL.
     """
-    return F.regexp_replace(F.trim(raw), r" (\d+)$", r".$1").try_cast("timestamp_ntz")
+    stamp = F.regexp_replace(F.trim(raw), r" (\d+)$", r".$1")
+    return F.when(stamp.rlike(STAMP), stamp).try_cast("timestamp_ntz")
 
 
 def micros(ts: str) -> Column:

@@ -12,11 +12,11 @@ from permeate.functions.regression import fit_lines, r_squared, seconds
 from permeate.functions.timing import DAY, HOUR, MINUTE, span, to_stamp
 from permeate.operators.folds import first_takers, keep_apart
 from permeate.operators.ordering import UNIT, frames, own_rows, row_index, running
-from permeate.operators.quality import Bands, in_band
+from permeate.operators.quality import Bands, in_band, sensors_of_units
 from permeate.operators.quantiles import fence
 from permeate.operators.rolling import edges, increments
 from permeate.schema import CHEMICAL_CLEANING, FILTRATION
-from permeate.storage import stage
+from permeate.storage import attach, stage
 
 
 def mark_periods(
@@ -166,17 +166,25 @@ def label_cycles(
     min_rows: int = 10,
     program: int = FILTRATION,
     keys: Sequence[str] = UNIT,
+    start: str | None = None,
     **blocks,
 ) -> DataFrame:
     """Plausible rows of the log with ``cycle_id`` (0 outside), ``k`` and ``n`` inside the cycle.
 
+    Only rows from the stamp ``start`` on can be members.
+
     Periods and their duration come from the raw rows, membership and lengths from the plausible
     ones.  A cycle needs ``min_minutes`` of raw time and ``min_rows`` plausible rows; the cycles
     kept are numbered 1, 2, … in time order per unit.
     """
     keys = list(keys)
+    sensors = sensors_of_units(ordered, list(bands), keys).withColumnRenamed("sensors", "_sensors")
+    ordered = attach(ordered, sensors, keys)
+    member = in_band(bands, F.col("_sensors"))
+    if start:
+        member = member & (F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
     marked = mark_periods(
-        ordered.withColumn("_good", in_band(bands)).withColumn("_one", F.col("_good").cast("long")),
+        ordered.withColumn("_good", member).drop("_sensors").withColumn("_one", F.col("_good").cast("long")),
         program,
         keys,
         **blocks,

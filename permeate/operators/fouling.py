@@ -17,7 +17,7 @@ from permeate.operators.quality import sample_intervals
 from permeate.operators.quantiles import fence, group_quantiles
 from permeate.operators.rolling import decline_from_window_start
 from permeate.schema import SLOPE_LIMITS
-from permeate.storage import stage
+from permeate.storage import attach, stage
 
 
 def tmp_slopes(
@@ -44,7 +44,7 @@ def baseline_week(
     if start is not None:
         return ordered.filter((F.col("us") >= micros_of(start)) & (F.col("us") < micros_of(start) + length))
     first = ordered.filter("rn = 0").select(*keys, F.col("us").alias("_from"))
-    return ordered.join(first, list(keys)).filter(F.col("us") < F.col("_from") + length).drop("_from")
+    return attach(ordered, first, keys).filter(F.col("us") < F.col("_from") + length).drop("_from")
 
 
 def stable_windows(
@@ -83,7 +83,7 @@ def stable_windows(
         F.ceil((F.col("_n") - F.col("_length")) / F.col("_step")) - 1,
     )
     spread = (
-        week.join(shape, keys)
+        attach(week, shape, keys)
         .filter(first <= last)
         .withColumn("window_no", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permeate.operators.ordering import UNIT, ordered_pieces, running
+from permeate.storage import attach
 
 
 def interval_join(
@@ -62,6 +63,6 @@ def next_after(
 def append_per_unit(df: DataFrame, values: DataFrame, keys: Sequence[str] = UNIT) -> DataFrame:
     """Add the per-unit values to every row of the unit.
 
-    A plain equi-join: Spark broadcasts the small side when its measured size allows it.
+    The rows stay where they are if the values are few (see :func:`attach`).
     """
-    return df.join(values, list(keys), "left")
+    return attach(df, values, keys, "left")

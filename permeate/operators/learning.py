@@ -15,7 +15,7 @@ from permeate.functions.timing import DAY, calendar_features, to_stamp
 from permeate.operators.forecast import Z
 from permeate.operators.ordering import UNIT, running, series_length
 from permeate.operators.rolling import lag_features, row_statistics, seconds_since_start
-from permeate.storage import stage
+from permeate.storage import attach, stage
 
 LAGS = (1, 12, 72, 144, 288)
 SIZES = (12, 72, 288)
@@ -57,7 +57,7 @@ def features(
 
 def split(feature_rows: DataFrame, test_share: float = 0.2, keys: Sequence[str] = UNIT) -> DataFrame:
     """Mark the earlier part of each unit for training (``is_train``), the rest for testing."""
-    sized = feature_rows.join(series_length(feature_rows, keys, "_n"), list(keys))
+    sized = attach(feature_rows, series_length(feature_rows, keys, "_n"), keys)
     return sized.withColumn("is_train", F.col("rn") < F.floor(F.col("_n") * (1.0 - test_share))).drop("_n")
 
 
@@ -135,7 +135,7 @@ def tree_forecast(
     large = series_length(ordered, keys, "_n").filter(F.col("_n") >= min_rows).select(*keys)
     names = feature_names(target, ordered.columns, lags, sizes, covariates)
     rows = split(
-        features(ordered.join(large, keys, "left_semi"), target, lags, sizes, covariates, keys, **blocks),
+        features(attach(ordered, large, keys, "left_semi"), target, lags, sizes, covariates, keys, **blocks),
         test_share,
         keys,
     )

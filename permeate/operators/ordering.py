@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType
 
-from permeate.storage import stage
+from permeate.storage import attach, stage
 
 UNIT = ("unit_id",)
 ORDER = ("us", "seq")
@@ -66,7 +66,7 @@ def row_index(
         .select(*keys, "_piece", "_shift")
     )
     return (
-        pieces.join(starts, [*keys, "_piece"])
+        attach(pieces, starts, [*keys, "_piece"])
         .withColumn(index, F.col("_place") + F.col("_shift"))
         .drop("_piece", "_place", "_shift")
     )

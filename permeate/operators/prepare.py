@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permeate.functions.timing import MINUTE
-from permeate.operators.ordering import UNIT, frames, own_rows, running, series_length
+from permeate.operators.ordering import UNIT, frames, own_rows, row_index, running, series_length
+from permeate.storage import attach
 
 
 def forward_fill(
@@ -81,7 +82,7 @@ def fill_gaps(
 ) -> DataFrame:
     """Fill missing readings.  ``gated``: only in units whose stamps show a gap at all."""
     if method == "drop":
-        filled = ordered.dropna("any", subset=list(columns))
+        filled = row_index(ordered.dropna("any", subset=list(columns)).drop("rn"), keys, name="dropped")
     elif method == "forward_fill":
         filled = forward_fill(ordered, columns, limit, keys, **blocks)
     elif method == "interpolate":
@@ -91,8 +92,8 @@ def fill_gaps(
     if not gated:
         return filled
     flags = gap_flags(ordered, max_minutes, keys, **blocks)
-    untouched = ordered.join(flags.filter(~F.col("has_gap")), list(keys), "left_semi")
-    return filled.join(flags.filter("has_gap"), list(keys), "left_semi").unionByName(untouched)
+    untouched = attach(ordered, flags.filter(~F.col("has_gap")), keys, "left_semi")
+    return attach(filled, flags.filter("has_gap"), keys, "left_semi").unionByName(untouched)
 
 
 def stride_sample(ordered: DataFrame, max_points: int = 10_000, keys: Sequence[str] = UNIT) -> DataFrame:
@@ -101,7 +102,7 @@ def stride_sample(ordered: DataFrame, max_points: int = 10_000, keys: Sequence[s
     The kept rows are renumbered, so the sample is again an ordered log.
     """
     keys = list(keys)
-    sized = ordered.join(series_length(ordered, keys, "_n"), keys)
+    sized = attach(ordered, series_length(ordered, keys, "_n"), keys)
     step = F.when(F.col("_n") <= max_points, F.lit(1)).otherwise(
         F.floor(F.col("_n") / F.lit(max_points))
     )

@@ -11,10 +11,17 @@ from pyspark.sql import functions as F
 from permeate.functions.timing import MINUTE, SECOND, span, to_stamp
 from permeate.operators.ordering import UNIT, frames, own_rows
 from permeate.operators.quantiles import group_quantiles
+from permeate.storage import attach
 
 Bands = dict[str, tuple[float, float]]
 
 
+def missing_table(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """One row per required column, in order, and whether the log lacks it."""
+    rows = [(i, c, c not in df.columns) for i, c in enumerate(required)]
+    return df.sparkSession.createDataFrame(rows, "place int, column string, missing boolean")
+
+
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
@@ -31,16 +38,33 @@ def keep_columns(df: DataFrame, bands: Bands, also: Sequence[str] = (*UNIT, "ts"
     return df.select(*[c for c in df.columns if c in also or c in bands])
 
 
-def in_band(bands: Bands) -> Column:
-    """All banded readings present and plausible; never NULL."""
-    return reduce(
-        lambda a, b: a & b,
-        [F.coalesce(F.col(c).between(lo, hi), F.lit(False)) for c, (lo, hi) in bands.items()],
-    )
+def sensors_of_units(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = UNIT) -> DataFrame:
+    """Per unit those of ``columns`` that it has any reading of (``sensors``)."""
+    held = [F.when(F.count(c) > 0, F.lit(c)) for c in columns]
+    return df.groupBy(*keys).agg(F.array_compact(F.array(*held)).alias("sensors"))
 
 
-def band_filter(df: DataFrame, bands: Bands) -> DataFrame:
-    """Rows whose banded readings are all plausible (plain comparisons, so they are pushed down)."""
+def in_band(bands: Bands, sensors: Column | None = None) -> Column:
+    """All banded readings present and plausible; never NULL.
+
+    ``sensors``: the columns that the unit has; others are not asked for.
+    """
+
+    def fits(c: str, low: float, high: float) -> Column:
+        plausible = F.coalesce(F.col(c).between(low, high), F.lit(False))
+        return plausible if sensors is None else plausible | ~F.array_contains(sensors, c)
+
+    return reduce(lambda a, b: a & b, [fits(c, *band) for c, band in bands.items()])
+
+
+def band_filter(df: DataFrame, bands: Bands, keys: Sequence[str] | None = None) -> DataFrame:
+    """Rows whose banded readings are all plausible (plain comparisons, so they are pushed down).
+
+    ``keys``: a unit without any reading of a sensor keeps its rows all the same.
+    """
+    if keys:
+        held = attach(df, sensors_of_units(df, list(bands), keys).withColumnRenamed("sensors", "_sensors"), keys)
+        return held.filter(in_band(bands, F.col("_sensors"))).drop("_sensors")
     return df.filter(
         reduce(lambda a, b: a & b, [F.col(c).between(lo, hi) for c, (lo, hi) in bands.items()])
     )

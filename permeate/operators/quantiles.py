@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permeate.operators.ordering import UNIT, row_index, series_length
+from permeate.storage import attach
 
 
 def group_quantiles(
@@ -84,8 +85,7 @@ def fence(
         (F.col("_q3") + reach * (F.col("_q3") - F.col("_q1"))).alias("fence_high"),
     )
     return (
-        df.filter(F.col(value).isNotNull())
-        .join(limits, keys)
+        attach(df.filter(F.col(value).isNotNull()), limits, keys)
         .withColumn(
             "inside",
             (F.col("_fence_n") < at_least)

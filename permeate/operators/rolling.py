@@ -7,13 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from permeate.functions.missing import ratio
+from permeate.functions.missing import finite, ratio
 from permeate.functions.timing import HOUR, SECOND, width
 from permeate.operators.ordering import UNIT, frames, ordered_pieces, own_rows, running
+from permeate.storage import attach
 
 # Readings are summed as decimals: adding a row and later taking it away again leaves no trace,
-# and the result does not depend on how the series was cut.
-_EXACT = "decimal(28,12)"
+# and the result does not depend on how the series was cut.  What is summed is the distance from the
+# unit's median; a reading farther away than ``FARTHEST`` is taken for a fault, like an infinite one.
+_EXACT, _SQUARE, _DIGITS, _SQUARE_DIGITS = "decimal(20,12)", "decimal(38,16)", 12, 16
+FARTHEST = 1e8
 
 _EVENT = ("_at", "_slot", "_kind", "_place", "_piece")
 
@@ -29,6 +32,40 @@ def derivatives(
     )
 
 
+def _centred(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Add per column ``_m_…``, the unit's median (nearly), and ``_y_…``, the exact distance from it."""
+    medians = [F.coalesce(F.percentile_approx(finite(F.col(c)), 0.5), F.lit(0.0)).alias(f"_m_{c}") for c in columns]
+    near = attach(df, df.groupBy(*keys).agg(*medians), keys)
+    away = {c: finite(F.col(c)) - F.col(f"_m_{c}") for c in columns}
+    return near.withColumns({f"_y_{c}": F.when(F.abs(y) < FARTHEST, y).cast(_EXACT) for c, y in away.items()})
+
+
+def _twofold(total: Column, digits: int) -> tuple[Column, Column]:
+    """A decimal as the sum of two doubles."""
+    high = total.cast("double")
+    return high, (total.cast(f"decimal(38,{digits})") - high.cast(f"decimal(38,{digits})")).cast("double")
+
+
+def _product(a: Column, b: Column) -> tuple[Column, Column]:
+    """The exact product of two doubles as the sum of two doubles."""
+
+    def halves(x: Column) -> tuple[Column, Column]:
+        wide = x * F.lit(134217729.0)
+        top = wide - (wide - x)
+        return top, x - top
+
+    (a1, a2), (b1, b2), high = halves(a), halves(b), a * b
+    return high, ((a1 * b1 - high) + a1 * b2 + a2 * b1) + a2 * b2
+
+
+def _deviation(n: Column, total: Column, squares: Column) -> Column:
+    """Sample deviation from exact sums; the two large terms are subtracted in double-double."""
+    (s, s_low), (q, q_low), m = _twofold(total, _DIGITS), _twofold(squares, _SQUARE_DIGITS), n.cast("double")
+    (ss, ss_low), (mq, mq_low) = _product(s, s), _product(m, q)
+    spread = (mq - ss) + ((mq_low + m * q_low) - (ss_low + F.lit(2.0) * s * s_low))
+    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (m * (m - 1))))
+
+
 def _with_expiries(df: DataFrame, widths: Sequence[int], values: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Each row, plus one event per window at the instant the row leaves that window.
 
@@ -60,16 +97,17 @@ def time_statistics(
     grow with the number of rows a window holds.
     """
     widths = [width(w) for w in windows]
-    events = _with_expiries(df, widths, columns, keys)
+    centres = [f"_{x}_{c}" for c in columns for x in ("m", "y")]
+    events = _with_expiries(_centred(df, columns, keys), widths, [*columns, *centres], keys)
     sources = {}
     for i, label in enumerate(windows):
         sign = F.when(F.col("_slot") == -1, 1).when(F.col("_slot") == i, -1)
         for c in columns:
-            exact = F.col(c).cast(_EXACT)
+            exact = F.col(f"_y_{c}")
             sources[f"_s_{c}_{label}"] = F.when(sign == 1, exact).when(sign == -1, -exact)
-            sources[f"_c_{c}_{label}"] = F.when(F.col(c).isNotNull(), sign).cast("long")
+            sources[f"_c_{c}_{label}"] = F.when(exact.isNotNull(), sign).cast("long")
             if "std" in statistics:
-                square = (F.col(c) * F.col(c)).cast(_EXACT)
+                square = (exact * exact).cast(_SQUARE)
                 sources[f"_q_{c}_{label}"] = F.when(sign == 1, square).when(sign == -1, -square)
     sums = {f"_run{name}": ("sum", value) for name, value in sources.items()}
     rows = running(events, sums, keys=keys, pieces=True).filter(F.col("_slot") == -1)
@@ -77,15 +115,12 @@ def time_statistics(
     for label in windows:
         for c in columns:
             n = F.col(f"_run_c_{c}_{label}")
-            s = F.col(f"_run_s_{c}_{label}").cast("double")
+            s = F.col(f"_run_s_{c}_{label}")
             if "mean" in statistics:
-                out[f"{c}_mean_{label}"] = F.when(n > 0, s / n)
+                out[f"{c}_mean_{label}"] = F.when(n > 0, F.col(f"_m_{c}") + s.cast("double") / n)
             if "std" in statistics:
-                q = F.col(f"_run_q_{c}_{label}").cast("double")
-                out[f"{c}_std_{label}"] = F.when(
-                    n > 1, F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1))
-                )
-    return rows.withColumns(out).drop(*sums, *_EVENT)
+                out[f"{c}_std_{label}"] = _deviation(n, s, F.col(f"_run_q_{c}_{label}"))
+    return rows.withColumns(out).drop(*sums, *centres, *_EVENT)
 
 
 def rolling_slopes(
@@ -142,15 +177,17 @@ def _moving_sums(near: DataFrame, w: WindowSpec, columns: Sequence[str], sizes:
     whole = w.rowsBetween(Window.unboundedPreceding, 0)
     totals, moving = {}, {}
     for c in columns:
-        totals[f"_c_{c}"] = F.count(c).over(whole)
-        totals[f"_s_{c}"] = F.sum(F.col(c).cast(_EXACT)).over(whole)
+        exact = F.col(f"_y_{c}")
+        totals[f"_c_{c}"] = F.count(exact).over(whole)
+        totals[f"_s_{c}"] = F.sum(exact).over(whole)
         if squares:
-            totals[f"_q_{c}"] = F.sum((F.col(c) * F.col(c)).cast(_EXACT)).over(whole)
+            totals[f"_q_{c}"] = F.sum((exact * exact).cast(_SQUARE)).over(whole)
     for name in totals:
         for k in sizes:
             gone = F.coalesce(F.lag(name, k).over(w), F.lit(0))
-            moving[f"{name}_{k}"] = (F.col(name) - gone).cast("double")
-    return near.withColumns(totals).withColumns(moving), [*totals, *moving]
+            moving[f"{name}_{k}"] = F.coalesce(F.col(name), F.lit(0)) - gone
+    centres = [f"_{x}_{c}" for c in columns for x in ("m", "y")]
+    return near.withColumns(totals).withColumns(moving), [*totals, *moving, *centres]
 
 
 def _moving_extremes(near: DataFrame, w: WindowSpec, column: str, sizes: Sequence[int], kinds: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -189,11 +226,11 @@ def moving_average(
     **blocks,
 ) -> DataFrame:
     """Mean of the last ``rows`` rows, from the first row on; missing readings are skipped."""
-    near, w = frames(ordered, rows, keys=keys, **blocks)
+    near, w = frames(_centred(ordered, columns, keys), rows, keys=keys, **blocks)
     summed, made = _moving_sums(near, w, columns, [rows], squares=False)
     return own_rows(
         summed.withColumns(
-            {f"{c}{suffix}": ratio(F.col(f"_s_{c}_{rows}"), F.col(f"_c_{c}_{rows}")) for c in columns}
+            {f"{c}{suffix}": F.col(f"_m_{c}") + ratio(F.col(f"_s_{c}_{rows}"), F.col(f"_c_{c}_{rows}")) for c in columns}
         )
     ).drop(*made)
 
@@ -211,9 +248,10 @@ def row_statistics(
     The work per row does not grow with the number of rows in the frame (mean, deviation) or
     grows with its logarithm (extremes).
     """
-    near, w = frames(ordered, max(sizes), keys=keys, **blocks)
+    summing = bool({"mean", "std"} & set(statistics))
+    near, w = frames(_centred(ordered, [column], keys) if summing else ordered, max(sizes), keys=keys, **blocks)
     made: list[str] = []
-    if {"mean", "std"} & set(statistics):
+    if summing:
         near, names = _moving_sums(near, w, [column], sizes, squares="std" in statistics)
         made += names
     kinds = [m for m in ("min", "max") if m in statistics]
@@ -224,11 +262,8 @@ def row_statistics(
     for k in sizes:
         n, total = F.col(f"_c_{column}_{k}"), F.col(f"_s_{column}_{k}")
         forms = {
-            "mean": lambda: ratio(total, n),
-            "std": lambda: F.when(
-                n > 1,
-                F.sqrt(F.greatest(F.col(f"_q_{column}_{k}") - total * total / n, F.lit(0.0)) / (n - 1)),
-            ),
+            "mean": lambda: F.col(f"_m_{column}") + ratio(total, n),
+            "std": lambda: _deviation(n, total, F.col(f"_q_{column}_{k}")),
             "min": lambda: F.col(f"_minof_{k}"),
             "max": lambda: F.col(f"_maxof_{k}"),
         }
@@ -261,7 +296,7 @@ def increments(
 def seconds_since_start(df: DataFrame, keys: Sequence[str] = UNIT) -> DataFrame:
     starts = df.groupBy(*keys).agg(F.min("us").alias("_from"))
     return (
-        df.join(starts, list(keys))
+        attach(df, starts, keys)
         .withColumn("time_numeric", (F.col("us") - F.col("_from")) / F.lit(float(SECOND)))
         .drop("_from")
     )

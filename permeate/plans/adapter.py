@@ -94,6 +94,11 @@ def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Any])
     return _made[key]
 
 
+def forget() -> None:
+    """Forget all tables and models that were made, so that the next query makes its own."""
+    _made.clear()
+
+
 def prepared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A table written once and then read by several queries, like the stage outputs of a batch run."""
     return once(spark, sf_dir, name, lambda: stage(build(), name))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permeate.functions import scalars as s
+from permeate.functions.missing import nan_to_null
 from permeate.operators import charts, kpis, prepare
 from permeate.operators.cycles import (
     chemical_cleanings,
@@ -23,7 +24,7 @@ from permeate.operators.cycles import (
 from permeate.operators.forecast import choose_model, forecast
 from permeate.operators.fouling import add_decline, daily_low, fenced_daily_low, permeability_baseline, stable_start, tmp_slopes
 from permeate.operators.learning import tree_forecast
-from permeate.operators.ordering import row_index
+from permeate.operators.ordering import UNIT, row_index
 from permeate.operators.quality import band_filter, require_columns, stamp_gaps, validation_report
 from permeate.operators.rolling import derivatives, moving_average, rolling_slopes, time_statistics
 from permeate.schema import ALERT_LIMITS, REQUIRED, TARGETS, bands_for
@@ -84,20 +85,21 @@ def run(log: DataFrame, out: str, settings: Settings = Settings()) -> dict[str,
 
     def put(name: str, df: DataFrame, as_json: bool = False) -> DataFrame:
         path = f"{out}/{name}"
-        if as_json:
-            save_json(df, f"{path}.json")
         save_parquet(df, path)
         tables[name] = spark.read.parquet(path)
+        if as_json:
+            save_json(tables[name], f"{path}.json")
         return tables[name]
 
     require_columns(log, REQUIRED)
     bands = bands_for(log.columns)
-    raw = put("raw", row_index(log))
+    raw = put("raw", row_index(nan_to_null(log)))
 
-    put("validation_report", validation_report(raw, bands, list(bands), settings.max_gap_minutes), True)
+    readings = [c for c in raw.columns if c not in ("unit_id", "ts", "us", "seq", "rn")]
+    put("validation_report", validation_report(raw, bands, readings, settings.max_gap_minutes), True)
     put("gaps", stamp_gaps(raw, settings.max_gap_minutes))
 
-    good = band_filter(raw, bands).select("unit_id", "ts", "us", "seq", *bands)
+    good = band_filter(raw, bands, UNIT).select("unit_id", "ts", "us", "seq", *bands)
     if settings.start:
         good = good.filter(F.col("ts") >= F.lit(settings.start).cast("timestamp_ntz"))
     valid = put("valid", row_index(good))
@@ -116,7 +118,7 @@ def run(log: DataFrame, out: str, settings: Settings = Settings()) -> dict[str,
     baseline = put("baseline", permeability_baseline(processed, "perm_tc", settings.baseline_start), True)
 
     if "program" in raw.columns:
-        labels = put("cycle_rows", label_cycles(raw, bands, settings.min_cycle_minutes))
+        labels = put("cycle_rows", label_cycles(raw, bands, settings.min_cycle_minutes, start=settings.start))
         cycles = put("cycles", cycle_metrics(labels.filter("cycle_id > 0"), ["unit_id", "cycle_id"]), True)
         cleanings = put("cleanings", chemical_cleanings(raw), True)
     else:

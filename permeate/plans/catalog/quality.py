@@ -13,6 +13,16 @@ from permeate.plans.registry import query, rounded, stamp_text
 RANGE = ("2024-01-05 06:00:00", "2024-01-20 18:00:00")
 
 
+@query(
+    "b1_missing_columns",
+    """select place, col as "column", col not in (select column_name from (describe events)) as missing
+    from (values (0, 'ts'), (1, 'value'), (2, 'flow'), (3, 'event_type')) as t(place, col)""",
+    "",
+)
+def missing(spark, sf):
+    return q.missing_table(spark.read.parquet(f"{sf}/events.parquet"), ["ts", "value", "flow", "event_type"])
+
+
 @query("b2_keep_columns", "select unit_id, us, seq, tmp, perm_tc, flux from log", LOG_SQL)
 def keep(spark, sf):
     bands = {c: BANDS[c] for c in ("tmp", "perm_tc", "flux")}

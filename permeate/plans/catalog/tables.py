@@ -31,10 +31,10 @@ def logger_files(spark, sf):
     c = F.col
     first = [c("unit_id").alias("unit"), c("stamp").alias("TimeStamp"), c("tmp").alias("TMP"),
              c("perm_tc").alias("Permeability TC"), c("flux").alias(" Flux "), c("program").alias("Active program number"),
-             c("seq").alias("Row number")]
+             c("seq").alias("Row number"), c("temp_c").alias("01-TIT-01")]
     second = [c("unit_id").alias("unit"), c("seq").alias("Row number"), c("flux").alias("Flux"),
               c("program").alias("Active program number"), c("stamp").alias(" TimeStamp"), c("tmp").alias("TMP "),
-              c("temp_c").alias("01-TIT-01"), c("perm_tc").alias("Permeability TC")]
+              c("temp_c").alias("01-TIT-01"), c("perm_tc").alias("Permeability TC"), c("chemical_timer").alias("Chemical timer")]
     for part, columns, rest in (("a", first, 0), ("b", second, 1)):
         (
             log.filter(c("seq") % 2 == rest).select(*columns).write.partitionBy("unit")
@@ -47,17 +47,28 @@ def logger_files(spark, sf):
 @query(
     "a1_a2_a3_logger_files",
     """select unit_id, us, cast(seq as double) as row_number, round(tmp, 6) as tmp, round(perm_tc, 6) as perm_tc, round(flux, 6) as flux, program,
-      case when seq % 2 = 1 then round(temp_c, 6) end as temp_c from log""",
+      round(temp_c, 6) as temp_c, case when seq % 2 = 1 then round(chemical_timer, 6) end as chemical_timer from log""",
     LOG_SQL,
 )
 def tsv(spark, sf):
     log = readable(read_logs(spark, logger_files(spark, sf), "*.csv", _unit()))
-    return log.select("unit_id", "us", "row_number", *rounded("tmp", "perm_tc", "flux"), "program", *rounded("temp_c"))
+    return log.select("unit_id", "us", "row_number", *rounded("tmp", "perm_tc", "flux"), "program", *rounded("temp_c", "chemical_timer"))
 
 
-@query("a4_unreadable_stamps", "select unit_id, 0 as unreadable, count(*) as n_rows from log group by 1", LOG_SQL)
+@query(
+    "a4_unreadable_stamps",
+    "select unit_id, count_if(seq % 7 in (1, 3, 5)) as unreadable, count(*) as n_rows from log group by 1",
+    LOG_SQL,
+)
 def unreadable(spark, sf):
-    return unreadable_counts(read_logs(spark, logger_files(spark, sf), "*.csv", _unit()))
+    """Stamps cut to the year, with a word behind, and of no calendar day, among good ones."""
+    c, good = F.col, F.date_format("ts", "yyyy-MM-dd HH:mm:ss SSSSSS")
+    bad = F.when(c("seq") % 7 == 1, F.date_format("ts", "yyyy")).when(c("seq") % 7 == 3, F.concat(good, F.lit(" late")))
+    stamp = bad.when(c("seq") % 7 == 5, F.concat(F.date_format("ts", "yyyy"), F.lit("-02-30 10:00:00"))).otherwise(good)
+    folder = _fresh(spark, "tsv")
+    log = sensor_log(spark, sf).select(c("unit_id").alias("unit"), stamp.alias("TimeStamp"), c("tmp").alias("TMP"))
+    log.write.partitionBy("unit").option("header", True).option("sep", "\t").csv(folder)
+    return unreadable_counts(read_logs(spark, folder, "*.csv", _unit()))
 
 
 @query(
@@ -148,9 +159,9 @@ def ingested(spark, sf):
     return once(spark, sf, "ingested", build)
 
 
-# What the files of :func:`logger_files` let through: temperature is logged in every second row only.
+# What the bands let through of the files of :func:`logger_files`.
 _GOOD = """tmp between 0 and 8 and perm_tc is not null and perm_tc between 0 and 20 and flux between 0 and 30
-  and seq % 2 = 1 and temp_c between -10 and 30"""
+  and temp_c between -10 and 30"""
 
 
 @query(

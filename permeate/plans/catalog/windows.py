@@ -48,6 +48,27 @@ def rolling_mean(spark, sf):
     return out.select("unit_id", "seq", *rounded(*names))
 
 
+_FAULTS = LOG_SQL + """, faulty as (select unit_id, us, seq, 1234567.8e0 + case when seq % 3 = 0 then 1e-3 else 0 end as total,
+    case when seq % 50 <> 0 then tmp end as tmp from log)"""
+
+
+@query(
+    "e2_e3_faults_and_totals",
+    "select unit_id, seq, "
+    + ", ".join(f"round({f}({c}) over {_range(24)}, 6) as {c}_{n}_24h" for n, f in (("mean", "avg"), ("std", "stddev_samp")) for c in ("total", "tmp"))
+    + " from faulty",
+    _FAULTS,
+)
+def faults_and_totals(spark, sf):
+    """A totaliser that hardly moves, and readings among which some are infinite or absurd."""
+    seq = F.col("seq")
+    fault = F.when(seq % 100 == 0, float("inf")).when(seq % 100 == 50, 1e30)
+    log = _log(spark, sf, "tmp").withColumn("tmp", F.coalesce(fault, F.col("tmp")))
+    log = log.withColumn("total", F.lit(1234567.8) + F.when(seq % 3 == 0, 1e-3).otherwise(0.0))
+    out = w.time_statistics(log, ["total", "tmp"], ("24h",))
+    return out.select("unit_id", "seq", *rounded(*[f"{c}_{n}_24h" for n in ("mean", "std") for c in ("total", "tmp")]))
+
+
 @query(
     "e3_rolling_std",
     "select unit_id, seq, "
@@ -259,14 +280,11 @@ def day_floor(spark, sf):
 
 @query(
     "f9_half_even",
-    "select unit_id, seq, round_even(value / 10, 1) as tenths from log where cast(round(value * 100) as bigint) % 10 <> 5",
+    "select unit_id, seq, round_even(value / 10, 1) as tenths from log",
     LOG_SQL,
 )
 def half_even(spark, sf):
-    cents = F.round(F.col("value") * 100).cast("long")
-    return sensor_log(spark, sf).filter(cents % 10 != 5).select(
-        "unit_id", "seq", s.half_even(F.col("value") / 10, 1).alias("tenths")
-    )
+    return sensor_log(spark, sf).select("unit_id", "seq", s.half_even(F.col("value") / 10, 1).alias("tenths"))
 
 
 @query(

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from permeate.functions.missing import finite
 from permeate.functions.timing import micros, parse_stamp
-from permeate.schema import column_name
+from permeate.schema import COLUMN_NAMES, column_name
+from permeate.storage import attach, stage
 
-MAX_COLUMNS = 5_000
 _HEADER = r"(^|\t)\s*\"?TimeStamp\"?\s*(\t|$)"
 
 
@@ -32,44 +35,56 @@ def file_headers(lines: DataFrame) -> DataFrame:
     )
 
 
+class NoLogFile(FileNotFoundError):
+    """None of the files has a header."""
+
+
+def columns_of(found: Sequence[str]) -> dict[str, str]:
+    """Column name -> name in the files, for all their names; names that would fall together are
+    told apart by a number."""
+    columns: dict[str, str] = {}
+    for raw in sorted(found, key=lambda name: (name not in COLUMN_NAMES, name)):
+        base = column_name(raw) or "column"
+        name, n = base, 1
+        while name in columns:
+            n += 1
+            name = f"{base}_{n}"
+        columns[name] = raw
+    return columns
+
+
+def files_without_header(lines: DataFrame) -> DataFrame:
+    """Files that have no header, with their number of lines; none of their rows can be read."""
+    counted = lines.groupBy("file").agg(
+        F.count_if(F.col("line").rlike(_HEADER)).alias("_headers"), F.count("*").alias("n_lines")
+    )
+    return counted.filter("_headers = 0").drop("_headers")
+
+
 def parse_lines(lines: DataFrame, unit_id: Column | None = None) -> DataFrame:
     """Log rows from text lines: columns are taken by name from each file's own header.
 
     A column a file lacks is NULL.  Only the set of column names reaches the driver.  The unit is
     the file's folder unless given.  ``seq`` is a hash of the line, so equal lines are the only ties.
     """
-    headers = file_headers(lines)
-    found = [
-        row.name
-        for row in headers.select(F.explode("names").alias("name")).distinct().limit(MAX_COLUMNS + 1).collect()
-        if row.name
-    ]
+    headers = stage(file_headers(lines), "headers")
+    found = [row.name for row in headers.select(F.explode("names").alias("name")).distinct().collect() if row.name]
     if not found:
-        raise FileNotFoundError("no logger file with a TimeStamp column found")
-    if len(found) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} different columns")
-    columns: dict[str, list[str]] = {}
-    for raw in sorted(found):
-        columns.setdefault(column_name(raw), []).append(raw)
+        raise NoLogFile("no logger file with a TimeStamp column found")
+    columns = columns_of(found)
     places = headers.select(
         "file",
-        *[
-            F.coalesce(*[F.nullif(F.array_position("names", raw), F.lit(0)) for raw in raws]).cast("int").alias(f"_at_{c}")
-            for c, raws in columns.items()
-        ],
-    )
-    rows = (
-        lines.filter((F.length(F.trim("line")) > 0) & ~F.col("line").rlike(_HEADER))
-        .join(places, "file")
-        .withColumn("_cells", _cells(F.col("line")))
+        *[F.nullif(F.array_position("names", raw), F.lit(0)).cast("int").alias(f"_at_{c}") for c, raw in columns.items()],
     )
+    text = lines.filter((F.length(F.trim("line")) > 0) & ~F.col("line").rlike(_HEADER))
+    rows = attach(text, places, ["file"]).withColumn("_cells", _cells(F.col("line")))
 
     def cell(c: str) -> Column:
         return F.nullif(F.try_element_at("_cells", F.col(f"_at_{c}")), F.lit(""))
 
     def reading(c: str) -> Column:
         number = cell(c).try_cast("double")
-        number = F.when(~F.isnan(number), number)
+        number = finite(number)
         return number.try_cast("int") if c == "program" else number
 
     unit = unit_id if unit_id is not None else F.regexp_extract("file", r"([^/]+)/[^/]+$", 1)

@@ -2,26 +2,52 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from permeate.functions.regression import fit_from_moments, moments
 from permeate.functions.timing import day_of
 from permeate.operators.fouling import daily_low
+from permeate.operators.ordering import UNIT
 from permeate.operators.quality import band_filter
 from permeate.operators.rolling import time_statistics
 from permeate.schema import bands_for
-from permeate.sources.logs import parse_lines, readable
+from permeate.sources.logs import NoLogFile, files_without_header, parse_lines, readable
 from permeate.sources.tables import save_log
+from permeate.storage import attach, stage
 
 STATISTICS, MOMENTS, DAILY_LOW = "window_statistics", "daily_moments", "daily_low"
+#: Files that could not be read, per batch, with their number of lines.
+SET_ASIDE = "files_without_header"
 
 
 def stored_log(spark: SparkSession, store: str) -> DataFrame:
     """All rows ingested so far, partitioned by ``unit_id`` and ``day``."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{store}/raw").drop("batch")
+    known: dict[str, StructField] = {}
+    for row in spark.read.parquet(f"{store}/schema").orderBy("batch").collect():  # one row per batch
+        for f in StructType.fromJson(json.loads(row.schema)):
+            known.setdefault(f.name, f)
+    return spark.read.schema(StructType(list(known.values()))).parquet(f"{store}/raw").drop("batch")
+
+
+def _remember(spark: SparkSession, store: str, batch_id: int, schema: StructType) -> None:
+    """Keep the batch's columns, so that no reader has to open all files to learn them."""
+    one = spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1)
+    one.write.mode("overwrite").parquet(f"{store}/schema/batch={batch_id}")
+
+
+def _on_days(log: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of the given (unit_id, day) pairs.
+
+    The days are put into the plan as literals, so only their folders are read; their number is
+    bounded by the calendar.
+    """
+    days = [row.day for row in pairs.select("day").distinct().collect()]
+    return attach(log.filter(F.col("day").isin(days)), pairs, ["unit_id", "day"], "left_semi")
 
 
 def _days_around(pairs: DataFrame, first: int, last: int) -> DataFrame:
@@ -49,9 +75,7 @@ def refresh_statistics(log: DataFrame, touched: DataFrame, path: str, column: st
     A day's windows reach into the day before, so that day is read but not rewritten.
     """
     changed = _days_around(touched, 0, 1)
-    needed = log.select("unit_id", "day", "us", "seq", column).join(
-        _days_around(changed, -1, 0), ["unit_id", "day"], "left_semi"
-    )
+    needed = _on_days(log.select("unit_id", "day", "us", "seq", column), _days_around(changed, -1, 0))
     fresh = time_statistics(needed, [column], ("24h",)).join(changed, ["unit_id", "day"], "left_semi")
     _replace_days(fresh, path)
 
@@ -59,14 +83,14 @@ def refresh_statistics(log: DataFrame, touched: DataFrame, path: str, column: st
 def refresh(spark: SparkSession, store: str, batch: DataFrame) -> None:
     """Bring the store's result tables up to date after ``batch`` was added.
 
-    Everything is kept per unit and day, so a batch costs as much as the days it touches; slopes
-    over all time are put together from the daily sums.
+    Everything is kept per unit and day, and only the folders of the days that a batch touches are
+    read; slopes over all time are put together from the daily sums.
     """
     touched = batch.select("unit_id", "day").distinct()
     log = stored_log(spark, store)
     refresh_statistics(log, touched, f"{store}/{STATISTICS}")
-    days = log.join(touched, ["unit_id", "day"], "left_semi")
-    good = band_filter(days, bands_for(log.columns))
+    days = _on_days(log, touched)
+    good = band_filter(days, bands_for(log.columns), UNIT)
     _replace_days(moments(good, "tmp", ("unit_id", "day")), f"{store}/{MOMENTS}")
     _replace_days(
         daily_low(good).withColumn("day", F.date_from_unix_date(day_of(F.col("us")).cast("int"))),
@@ -93,7 +117,7 @@ def ingest_new_files(
 
     ``watch=False`` stops when the inbox is empty; ``watch=True`` returns the running query.  No
     file is skipped while a batch is busy: it is part of the next one.  A repeated batch rewrites
-    its own folder, so a restart adds no row twice.
+    its own folder, so a restart adds no row twice.  Files without a header are listed and skipped.
     """
     lines = (
         spark.readStream.format("text")
@@ -107,8 +131,17 @@ def ingest_new_files(
     def take(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         path = f"{store}/raw/batch={batch_id}"
-        save_log(readable(parse_lines(batch, unit_id)), path)
-        on_batch(session, store, session.read.parquet(path))
+        batch = stage(batch, "batch")  # the text is read once, whatever is done with it
+        set_aside = files_without_header(batch).coalesce(1)
+        set_aside.write.mode("overwrite").parquet(f"{store}/{SET_ASIDE}/batch={batch_id}")
+        try:
+            log = parse_lines(batch, unit_id)
+        except NoLogFile:
+            return
+        save_log(readable(log), path)
+        stored = session.read.parquet(path)
+        _remember(session, store, batch_id, stored.schema)
+        on_batch(session, store, stored)
 
     writer = lines.writeStream.foreachBatch(take).option("checkpointLocation", f"{store}/_checkpoint")
     if watch:
