@@ -29,7 +29,8 @@ from permeate.llm.words import ALNUM
 WINDOW = 13
 #: A document is contaminated if ``SHARE`` times its hit words are at least all its words.
 SHARE = 20
-PART_BYTES = 8 << 20
+#: A task holds some 150 bytes per byte of these.
+PART_BYTES = 1 << 20
 #: Patterns are searched by classes of length, so that a short one does not shorten all shifts.
 CLASSES = (3, 12, 24, 40)
 BLOCK = 12

@@ -297,7 +297,7 @@ def links(found: DataFrame) -> DataFrame:
             .select(F.col("set").alias("a"), "hub.b", "n", "hub.m")
         )
         pairs = stored(gathered(pairs, rows), f"hub-pairs{turn}")
-        known = _joined(known, gathered(verified(pairs, parts, sets), rows), turn)
+        known = _joined(known, verified(pairs, parts, sets), turn)
     at = _labelled(meeting, known, rows)
     apart = at.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
     words = [F.get("bits", F.lit(i)).alias(f"w{i}") for i in range(PARITY_WORDS)]

@@ -34,7 +34,7 @@ from permeate.llm.words import flat, pieces
 
 UNKNOWN = "und"
 STRETCH = 1024
-SAMPLE_DOCS = 96
+SAMPLE_DOCS = 128
 DOC_BYTES = 512
 LANG_BYTES = 32 << 10
 PARSE_BYTES = 4 << 20
@@ -175,7 +175,7 @@ def learn(docs: DataFrame) -> Parser:
     counts = dict(rows.groupBy("lang").count().collect())  # one row per language
     if not counts:
         return Parser({})
-    limits = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int((1 << 30) * min(1.0, 4 * SAMPLE_DOCS / n)))])
+    limits = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int((1 << 30) * min(1.0, SAMPLE_DOCS / n)))])
     drawn = rows.where(spread <= F.element_at(limits, F.col("lang"))).where("length(text) > 0")
     # From a place that the hash gives, whole if the text is short.
     room = F.greatest(F.length("text") - DOC_BYTES, F.lit(0)) + 1

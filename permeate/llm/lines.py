@@ -94,7 +94,7 @@ def _signed(lines: DataFrame) -> DataFrame:
 
 def _set(norm: str) -> Column:
     whole = F.when(F.length(norm) >= SIZE, _pieces(F.col(norm))).otherwise(F.array(norm))
-    return F.array_distinct(whole)
+    return F.array_distinct(_hashed(whole))
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -115,9 +115,16 @@ def similar(docs: DataFrame, signed: DataFrame) -> DataFrame:
     def verify(pairs: DataFrame) -> DataFrame:
         left = texts.select(F.col("line").alias("a"), F.col("norm").alias("norm_a"))
         right = texts.select(F.col("line").alias("b"), F.col("norm").alias("norm_b"))
-        sets = pairs.join(left, "a").join(right, "b").select("a", "b", _set("norm_a").alias("one"), _set("norm_b").alias("two"))
-        counted = sets.select("a", "b", F.size("one").alias("n"), F.size("two").alias("m"), F.size(F.array_intersect("one", "two")).alias("both"))
-        return counted.where(F.col("both") * SHARE_OF >= (F.col("n") + F.col("m") - F.col("both")) * SHARE)
+        # Bound to a name by a function, sets and their overlap are made once per pair.
+        sets = F.struct(_set("norm_a").alias("one"), _set("norm_b").alias("two"))
+
+        def similar_sets(s: Column) -> Column:
+            n = F.size(s["one"]) + F.size(s["two"])
+            both = F.array(F.size(F.array_intersect(s["one"], s["two"])))
+            return F.exists(both, lambda k: k * SHARE_OF >= (n - k) * SHARE)
+
+        held = pairs.join(left, "a").join(right, "b")
+        return held.where(F.exists(F.array(sets), similar_sets)).select("a", "b")
 
     return linked(meeting, verify)
 

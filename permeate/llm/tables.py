@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from permeate.storage import stage
+from permeate.storage import shared_folder
 
 #: A side of a join is broadcast only if its counted rows are at most so many (ids and numbers only).
 BROADCAST_ROWS = 500_000
@@ -33,7 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written once to the shared folder: later stages never repeat what led to it."""
-    return stage(df, f"llm-{name}")
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/permeate/llm-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def gathered(df: DataFrame, rows: int) -> DataFrame:
@@ -42,11 +46,6 @@ def gathered(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(worth) if worth < parts(df.sparkSession) else df
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Hint a stored table for broadcast if its counted rows are few; else leave the join to Spark."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
