@@ -45,6 +45,17 @@ def test_a_run_writes_every_table(log, tmp_path):
     assert {"tmp_slope_6h", "permeability_baseline", "permeability_decline_baseline"} <= set(tables["fouling"].columns)
 
 
+def test_start_reaches_cycles_and_a_unit_may_lack_a_sensor(spark, log, tmp_path):
+    start = "1970-01-06 00:00:00"
+    lacking = log.withColumn("recovery", F.when(F.col("unit_id") == "a", F.col("recovery")))
+    tables = run(lacking, str(tmp_path), Settings(start=start, max_points=400))
+    assert tables["valid"].groupBy("unit_id").count().count() == 2
+    cycles = tables["cycles"]
+    assert 0 < cycles.count() < 30 and cycles.filter(F.col("start_time") < F.lit(start).cast("timestamp_ntz")).count() == 0
+    shares = tables["validation_report"].filter("unit_id = 'b'").first().missing_percent
+    assert shares["recovery"] == 100.0 and "program" in shares
+
+
 def test_a_run_without_program_numbers(log, tmp_path):
     tables = run(log.drop("program"), str(tmp_path), Settings(forecast_model="exponential"))
     assert tables["cycles"].count() > 0 and tables["cleanings"].count() == 0

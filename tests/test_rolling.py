@@ -63,6 +63,30 @@ def test_constant_readings_have_zero_deviation(spark):
     assert out.agg(F.max("v_std_6h")).first()[0] < 1e-6
 
 
+def test_large_totals_infinite_and_absurd_readings(spark):
+    def reading(i):
+        return float("inf") if i % 50 == 7 else 1e300 if i % 50 == 9 else 1.0
+
+    rows = [("u", i * MINUTE, i, 1e6 + (i % 2) * 1e-3, 1234567.8, reading(i)) for i in range(400)]
+    log = make(spark, rows, "unit_id string, us long, seq long, toggling double, constant double, faulty double")
+    names = ["toggling", "constant", "faulty"]
+    step = (1e6 + 1e-3) - 1e6  # as far as doubles tell the readings apart
+    last = rolling.time_statistics(log, names, ("6h",)).filter("rn = 399").first()
+    assert abs(last.toggling_std_6h / np.std([0, step] * 180, ddof=1) - 1) < 1e-8
+    assert last.constant_std_6h == 0 and last.constant_mean_6h == 1234567.8
+    assert last.faulty_mean_6h == 1.0 and last.faulty_std_6h == 0
+    by_row = rolling.row_statistics(log, "toggling", (72,)).filter("rn = 399").first()
+    assert abs(by_row.toggling_roll_std_72 / np.std([0, step] * 36, ddof=1) - 1) < 1e-8
+
+
+@pytest.mark.parametrize("block_rows", [20, 10_000])
+def test_dropped_rows_leave_no_holes(log, block_rows):
+    s, _ = series_of(log)
+    dropped = prepare.fill_gaps(log, ["v"], "drop", gated=False)
+    got = frame_of(rolling.moving_average(dropped, ["v"], 50, block_rows=block_rows), ["v_sma"])
+    np.testing.assert_allclose(got["v_sma"], s.dropna().rolling(50, min_periods=1).mean(), rtol=1e-9)
+
+
 @pytest.mark.parametrize("block_rows", [20, 10_000])
 def test_row_windows_equal_pandas(log, block_rows):
     s, _ = series_of(log)

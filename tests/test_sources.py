@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from permeate.schema import column_name
-from permeate.sources.logs import read_logs, readable, unreadable_counts
+from permeate.sources.logs import files_without_header, read_logs, readable, text_lines, unreadable_counts
 from permeate.sources.tables import file_info, load_parquet, save_log
-from permeate.streaming.ingest import DAILY_LOW, STATISTICS, current_slopes, ingest_new_files, stored_log
+from permeate.streaming.ingest import DAILY_LOW, SET_ASIDE, STATISTICS, _on_days, current_slopes, ingest_new_files, stored_log
 from permeate.operators.fouling import daily_low
 from permeate.operators.quality import band_filter
 from permeate.functions.regression import fit_lines
@@ -41,6 +41,44 @@ def test_files_are_combined_by_column_name(spark, tmp_path):
     assert log.filter("ts is null").first().ts_raw == "broken"
 
 
+def test_names_that_fall_together_are_told_apart(spark, tmp_path):
+    write(tmp_path / "u", "a.tsv", ["TimeStamp", "P-1", "P 1", "%%", "TMP"], [["2026-01-28 03:30:04", "1", "2", "3", "4"]])
+    row = read_logs(spark, str(tmp_path)).first()
+    assert {row.p_1, row.p_1_2} == {1.0, 2.0} and row.column == 3.0 and row.tmp == 4.0
+
+
+def test_half_stamps_and_infinite_readings_are_missing(spark, tmp_path):
+    stamps = ["2026", "2026-01-28", "2026-01-28 03:30", "2026-02-30 03:30:00", "2026-01-28 03:30:04 late", "2026-01-28 03:30:04"]
+    write(tmp_path / "u", "a.tsv", ["TimeStamp", "TMP"], [[t, "Infinity"] for t in stamps])
+    log = read_logs(spark, str(tmp_path))
+    assert unreadable_counts(log).first().unreadable == 5
+    assert log.filter("tmp is not null").count() == 0
+
+
+def test_files_without_header_are_listed(spark, tmp_path):
+    write(tmp_path / "u", "a.tsv", ["TimeStamp", "TMP"], [["2026-01-28 03:30:04", "1"]])
+    (tmp_path / "u" / "b.tsv").write_text("2026-01-28 03:30:09\t2\n2026-01-28 03:30:14\t3\n")
+    found = files_without_header(text_lines(spark, str(tmp_path))).collect()
+    assert [(r.file.rsplit("/", 1)[-1], r.n_lines) for r in found] == [("b.tsv", 2)]
+
+
+def test_a_file_without_header_does_not_stop_ingest(spark, tmp_path):
+    inbox, store = tmp_path / "inbox", str(tmp_path / "store")
+    rows = [[f"2026-01-28 03:{m:02d}:04", "1.5", "7", "12", "11"] for m in range(60)]
+    rows[7][1] = "1e300"
+    header = ["TimeStamp", "TMP", "Permeability TC", "Flux", "01-TIT-01"]
+    (inbox / "u").mkdir(parents=True)
+    (inbox / "u" / "bad.tsv").write_text("no header here\n")
+    ingest_new_files(spark, str(inbox), store)
+    write(inbox / "u", "good.tsv", header, rows)
+    ingest_new_files(spark, str(inbox), store)
+    assert stored_log(spark, store).count() == 60
+    assert spark.read.parquet(f"{store}/{SET_ASIDE}").count() == 1
+    assert "PartitionFilters: [isnotnull(day" in _on_days(
+        stored_log(spark, store), stored_log(spark, store).select("unit_id", "day").distinct()
+    )._jdf.queryExecution().toString()
+
+
 def test_no_files(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(FileNotFoundError):
