@@ -71,9 +71,9 @@ def _signed(lines: DataFrame) -> DataFrame:
     led = lines.withColumn("led", _pieces(F.col("norm"), f"[{LEADS}]"))
     every = F.when(F.length("norm") >= SIZE, _pieces(F.col("norm"))).otherwise(F.array("norm"))
     seen = led.withColumn("seen", F.when(F.size("led") > 0, F.col("led")).otherwise(every))
-    ranked = seen.withColumn("ranked", F.array_sort(F.array_distinct(_hashed(F.col("seen")))))
+    ranked = seen.withColumn("ranked", F.sort_array(F.array_distinct(_hashed(F.col("seen")))))
     cuts = [F.lit(c) for c in _CUTS]
-    marked = ranked.withColumn("marked", F.array_sort(F.concat("ranked", F.array(*cuts))))
+    marked = ranked.withColumn("marked", F.sort_array(F.concat("ranked", F.array(*cuts))))
     # Hashes below a cut: its place among all, less itself and the cuts before it.
     below = [F.array_position("marked", c) - F.lit(k + 1) for k, c in enumerate(cuts)]
     circle = marked.select(
