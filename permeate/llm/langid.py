@@ -198,12 +198,12 @@ def _judged(batch: pa.Array, parser: Parser) -> tuple[list[str], np.ndarray]:
     best, score = np.full(len(batch), -1), np.zeros(len(batch))
     for i, j in pieces(offsets, PARSE_BYTES):
         best[i:j], score[i:j] = parser.predict(data, offsets[i : j + 1])
-    # Symbols of 128 and above need not be letters; look at texts that have no ASCII letter.
-    letters = np.concatenate([[0], np.cumsum(_SYMBOL[data[offsets[0] : offsets[-1]]] - np.uint8(97) < 26)])
-    at = offsets - offsets[0]
-    for i in np.flatnonzero((letters[at[1:]] == letters[at[:-1]]) & (best >= 0)).tolist():
-        if not _LETTER.search(data[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace")):
-            best[i], score[i] = -1, 0.0
+        # Symbols of 128 and above need not be letters; look at texts that have no ASCII letter.
+        found = _SYMBOL[data[offsets[i] : offsets[j]]] - np.uint8(97) < 26
+        letters = np.concatenate([[0], np.cumsum(found, dtype=np.int32)])[offsets[i : j + 1] - offsets[i]]
+        for k in (i + np.flatnonzero((np.diff(letters) == 0) & (best[i:j] >= 0))).tolist():
+            if not _LETTER.search(data[offsets[k] : offsets[k + 1]].tobytes().decode("utf-8", "replace")):
+                best[k], score[k] = -1, 0.0
     names = [*parser.languages, UNKNOWN]
     return [names[k] for k in best.tolist()], score
 
