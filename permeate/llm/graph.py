@@ -31,9 +31,10 @@ def components(edges: DataFrame) -> DataFrame:
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == last:
             break
-        # Nothing hangs on a node that hangs on another: every component is a star.
+        # Every node hangs on one other, and nothing hangs on a node that hangs: every component is a star.
         if not turn and not links.join(least, "a", "left_semi").limit(1).count():
-            break
+            if not links.groupBy("a").count().where("count > 1").limit(1).count():
+                break
         last = tuple(state)
         near = _both_ways(links)
         smallest = near.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))

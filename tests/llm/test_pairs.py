@@ -35,6 +35,12 @@ def test_components_of_chains_stars_and_rings(spark):
     assert graph.components(none).count() == 0
 
 
+@pytest.mark.parametrize("edges", [[(3, 1), (3, 2)], [(1, 9), (2, 9), (3, 8), (4, 8), (5, 8)], [(3, 1), (4, 1)]])
+def test_components_where_no_link_follows_another(spark, edges):
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {n: c for n, c in union_find(edges, {x for e in edges for x in e}).items() if n != c}
+
+
 def shingles(text):
     w = (text or "").lower().split()
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
