@@ -139,6 +139,43 @@ def test_line_dedup_finds_the_similar_lines(spark):
     assert all(r.n_lines == 8 and r.n_kept == len([x for x in r.text.split("\n") if x]) for r in got.values())
 
 
+def test_similar_lines_meet_whatever_was_edited(spark):
+    draw, made = random.Random(6), {}
+
+    def text(n, signs):
+        return "".join(draw.choice(signs) for _ in range(n))
+
+    letters, plain = "abcdefghijklmnopqrstuvwxyz   ", "bcdfghjklmnpqrstvwxyz"
+    edits = {
+        "front": lambda n: (t := text(n, letters).replace(" ", "e"), "b " + t),
+        "last": lambda n: (t := text(n, letters).replace(" ", "e"), t[:-1] + "é"),
+        "led in front": lambda n: (t := text(n, plain), "a" + t),
+        "digits": lambda n: (
+            (t := text(n - 9, plain)) + (d := text(9, "0123456789")),
+            t + d[:-1] + "z",
+        ),
+        "digits ahead": lambda n: ("1" + (d := text(8, "0123456789")) + (t := text(n - 9, plain)), "x" + d + t),
+    }
+    for name, edit in edits.items():
+        for n in (16, 24, 40, 90, 300):
+            for _ in range(60):
+                a, b = edit(n)
+                x, y = line_set(a), line_set(b)
+                if len(x & y) * 100 >= 80 * len(x | y):
+                    made.setdefault((name, n), []).append((a, b))
+    pairs = [(k, *p) for k, many in made.items() for p in many]
+    rows = [(i, t, 0) for i, (_, *two) in enumerate(pairs) for t in two]
+    signed = lines._signed(spark.createDataFrame([(i, k % 2, t) for k, (i, t, _) in enumerate(rows)], "doc_id long, place int, norm string"))
+    keys = {}
+    for r in signed.collect():
+        keys.setdefault(r.doc_id, []).append({r[f"b{i}"] for i in range(lines.BANDS)})
+    met = {}
+    for i, (k, *_) in enumerate(pairs):
+        met.setdefault(k, []).append(bool(keys[i][0] & keys[i][1]))
+    short = {k: sum(v) / len(v) for k, v in met.items() if sum(v) < 0.95 * len(v)}
+    assert len(met) > 12 and not short
+
+
 def test_line_dedup_awkward_rows(spark):
     docs = documents(spark)
     got = lines.deduped(docs).collect()
