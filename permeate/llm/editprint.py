@@ -3,10 +3,11 @@
 All texts share random walks: at each step the walk writes the character under it and, by a coin
 that depends on step and character alone, goes on or stays. Two texts that differ by few edits
 fall into step again after each of them, so edit distance becomes Hamming distance of what was
-written. A walk is made for every stretch of ``STRETCH`` characters of the whole text, two steps a
-character; the fingerprint is a sample of ``SLOTS`` written characters. Which place a slot takes
-depends on the text's length by consistent hashing, so texts of nearly one length take nearly the
-same places. The likeness of two fingerprints is the share of slots with equal place and character.
+written. ``WALKS`` walks, each with its own coins, go through the whole text until it is read, about
+two steps a character; the fingerprint is a sample of ``SLOTS`` written characters, as many of each
+walk. Which place a slot takes depends on its walk's number of steps by consistent hashing, so walks
+of nearly one length take nearly the same places. The likeness of two fingerprints is the share of
+slots with equal place and character.
 
 ``near_links`` bands the samples: texts that agree in all slots of a band meet, and are linked if
 their whole fingerprints are alike enough.
@@ -33,8 +34,15 @@ from permeate.llm.graph import linked
 from permeate.llm.tables import parts, pick, stored
 
 SLOTS = 256
-STRETCH = 1024
 WALK_CHARS = 4 << 20
+#: How soon texts fall into step again is luck; more walks even it out.
+WALKS = 4
+#: Coins repeat after so many steps, far more than two texts are apart when they fall into step again.
+COINS = 4096
+#: Steps between two looks at which walks have ended.
+BLOCK = 256
+#: So few walks are made one by one.
+FEW = 16
 #: Bands of so many slots each; texts of likeness 0.7 meet in one of them in 994 of 1,000 cases.
 BAND = 6
 ALIKE = 0.7
@@ -52,8 +60,8 @@ def _places() -> np.ndarray:
 
 
 _PLACES = _places()
-_COINS = np.random.default_rng(21).integers(0, 2, (2 * STRETCH, 256)).astype(np.int32)
-_COINS[:, 0] = 0  # behind the end the walk stays
+_COINS = np.random.default_rng(21).integers(0, 2, (WALKS, COINS, 256)).transpose(1, 0, 2).copy()  # step, walk, character
+_COINS[:, :, 0] = 0  # behind the end the walk stays
 
 
 def classes(text: str) -> np.ndarray:
@@ -63,35 +71,56 @@ def classes(text: str) -> np.ndarray:
 
 
 def _sampled(lengths: np.ndarray) -> np.ndarray:
-    """Texts x slots: the place of each slot in what the walks of a text write; -1: none."""
-    n = 2 * lengths
-    return np.stack([row[np.maximum(np.searchsorted(row, n) - 1, 0)] for row in _PLACES], 1) * (n > 0)[:, None] - (n == 0)[:, None]
-
-
-def _walk(stretches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Walk all stretches side by side: what each step wrote (steps x lanes), and each one's lane."""
-    sizes = np.fromiter(map(len, stretches), np.int64, len(stretches))
-    order = np.argsort(-sizes, kind="stable")
-    lane = np.empty(len(order), np.int64)
-    lane[order] = np.arange(len(order))
-    sizes = sizes[order]
-    width = int(sizes[0]) + 1
-    text = np.zeros((len(order), width), np.uint8)
-    for i, k in enumerate(order.tolist()):
-        text[i, : sizes[i]] = stretches[k]
-    text = text.ravel()
-    at = np.arange(len(order), dtype=np.int32) * width
-    steps = 2 * (width - 1)
-    wrote = np.zeros((steps, len(order)), np.uint8)
-    active = np.searchsorted(-2 * sizes, -np.arange(1, steps + 1), side="right")
-    for step, n in enumerate(active.tolist()):
-        symbol = np.take(text, at[:n], out=wrote[step, :n], mode="clip")
-        at[:n] += _COINS[step][symbol]
-    return wrote, lane
+    """Texts x slots: the place of each slot in what its walk writes, from the steps of each walk; -1: none."""
+    n = np.repeat(lengths, SLOTS // WALKS, 1)
+    at = np.stack([row[np.maximum(np.searchsorted(row, n[:, i]) - 1, 0)] for i, row in enumerate(_PLACES)], 1)
+    return at * (n > 0) - (n == 0)
+
+
+def _walk(texts: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """Per walk and text what the walk writes, from its first step until the text is read.
+
+    Walks go side by side; what is read drops out at the end of a block. The last ``FEW`` go on one
+    by one, so that a text much longer than the others costs its own length only.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    text = np.concatenate([x for t in texts for x in (t, np.zeros(1, np.uint8))])
+    ends = np.tile(np.cumsum(sizes + 1) - 1, WALKS)
+    at = ends - np.tile(sizes, WALKS)
+    lanes = np.flatnonzero(at < ends)
+    coins = _COINS.reshape(COINS, -1)
+    step, wrote = 0, [[] for _ in ends]
+    while len(lanes) > FEW:
+        block, here, table = np.empty((BLOCK, len(lanes)), np.uint8), at[lanes], lanes // len(texts) * 256
+        for row in block:
+            np.take(text, here, out=row, mode="clip")
+            here += coins[step % COINS].take(table + row)
+            step += 1
+        at[lanes] = here
+        for lane, column in zip(lanes.tolist(), np.ascontiguousarray(block.T), strict=True):
+            wrote[lane].append(column)
+        lanes = lanes[here < ends[lanes]]
+    moves = _COINS.transpose(1, 0, 2).astype(np.uint8)
+    for lane in lanes.tolist():
+        own = text[int(at[lane]) : int(ends[lane]) + 1].tobytes()
+        move = moves[lane // len(texts)].tobytes()
+        k, coin, out = 0, step % COINS << 8, bytearray()
+        while symbol := own[k]:
+            out.append(symbol)
+            k += move[coin | symbol]
+            coin += 256
+            if coin == COINS << 8:
+                coin = 0
+        wrote[lane].append(np.frombuffer(bytes(out), np.uint8))
+    done = []
+    for columns in wrote:
+        whole = np.concatenate(columns) if columns else np.empty(0, np.uint8)
+        done.append(whole[: np.count_nonzero(whole)])  # behind the end a walk writes 0
+    return [done[w * len(texts) : (w + 1) * len(texts)] for w in range(WALKS)]
 
 
 class Prints:
-    """Fingerprints of some texts: symbols (texts x slots) and lengths."""
+    """Fingerprints of some texts: symbols (texts x slots) and the lengths of their walks."""
 
     def __init__(self, symbols: np.ndarray, lengths: np.ndarray):
         self.symbols, self.lengths = symbols, lengths
@@ -100,7 +129,7 @@ class Prints:
         return Prints(self.symbols[at], self.lengths[at])
 
     def strings(self) -> list[str]:
-        return [f"{n}:{base64.b64encode(s.tobytes()).decode()}" for n, s in zip(self.lengths.tolist(), self.symbols, strict=True)]
+        return [f"{','.join(map(str, n))}:{base64.b64encode(s.tobytes()).decode()}" for n, s in zip(self.lengths.tolist(), self.symbols, strict=True)]
 
 
 def likeness(one: Prints, two: Prints) -> np.ndarray:
@@ -111,31 +140,18 @@ def likeness(one: Prints, two: Prints) -> np.ndarray:
 def read_prints(strings: list[str]) -> Prints:
     pairs = [s.split(":") for s in strings]
     symbols = [np.frombuffer(base64.b64decode(p[1]), np.uint8) for p in pairs]
-    return Prints(np.stack(symbols) if symbols else np.zeros((0, SLOTS), np.uint8), np.array([int(p[0]) for p in pairs], np.int64))
-
-
-def prints(texts: list[np.ndarray], like: list[tuple[int, int]] | None = None) -> Prints:
-    """Fingerprints of texts given as classes. ``like``: per text an earlier text and how many
-    first characters they share, so that shared stretches are walked once; (-1, 0) if none."""
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    stretches, first, lanes_of = [], [], []
-    for i, t in enumerate(texts):
-        of, shared = like[i] if like else (-1, 0)
-        mine = list(lanes_of[of][: shared // STRETCH]) if of >= 0 else []
-        for a in range(len(mine) * STRETCH, len(t), STRETCH):
-            mine.append(len(stretches))
-            stretches.append(t[a : a + STRETCH])
-        lanes_of.append(mine)
-    places = _sampled(lengths)
+    return Prints(np.stack(symbols) if symbols else np.zeros((0, SLOTS), np.uint8), np.array([p[0].split(",") for p in pairs], np.int64).reshape(-1, WALKS))
+
+
+def prints(texts: list[np.ndarray]) -> Prints:
+    """Fingerprints of texts given as classes."""
+    wrote = _walk(texts) if texts else [[]] * WALKS
+    lengths = np.array([list(map(len, w)) for w in wrote], np.int64).T
+    places = _sampled(lengths).reshape(len(texts), WALKS, -1)
     symbols = np.zeros(places.shape, np.uint8)
-    if stretches:
-        wrote, lane = _walk(stretches)
-        first = np.cumsum([0, *map(len, lanes_of)])[:-1]
-        every = lane[np.array([k for mine in lanes_of for k in mine], np.int64)]
-        some = lengths > 0
-        which = every[first[some][:, None] + places[some] // (2 * STRETCH)]
-        symbols[some] = wrote[places[some] % (2 * STRETCH), which]
-    return Prints(symbols, lengths)
+    for w, i in zip(*np.nonzero(lengths.T), strict=True):
+        symbols[i, w] = wrote[w][i][places[i, w]]
+    return Prints(symbols.reshape(len(texts), SLOTS), lengths)
 
 
 def edited(text: str, following: str) -> str:
@@ -171,15 +187,11 @@ def _judged(ids: list, texts: list[str], nexts: list[str]) -> pa.RecordBatch:
         own_row = i + 1 < n and b is texts[i + 1]
         at.append(i + 1 if own_row else k)
         k += not own_row
-    kept = [len(t) - len(t) // 4 for t in texts]
-    made = prints(
-        [*own, *map(classes, changed), *map(classes, alone)],
-        [(-1, 0)] * n + [(i, kept[i]) for i in range(n)] + [(-1, 0)] * len(alone),
-    )
+    made = prints([*own, *map(classes, changed), *map(classes, alone)])
     mine, theirs = made.take(slice(0, n)), made.take(slice(n, 2 * n))
     columns = [
         pa.array(ids, pa.int64()),
-        pa.array(mine.lengths),
+        pa.array(list(map(len, texts)), pa.int64()),
         pa.array([hashlib.sha256(c.encode("utf-8", "surrogatepass")).hexdigest() for c in changed]),
         pa.array(mine.strings()),
         pa.array(theirs.strings()),

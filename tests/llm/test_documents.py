@@ -210,6 +210,31 @@ def test_fingerprints_follow_edit_distance():
     assert near[0] == 1 and near[0] > near[1] > near[2] > near[3]
 
 
+@pytest.mark.parametrize("header, share", [(10, 0.8), (20, 0.7), (40, 0.3)])
+def test_a_header_before_a_long_text_is_one_edit(header, share):
+    texts = [prose(60 + i, 3600)[:20000] for i in range(20)]
+    headed = [prose(800 + i, 20)[:header] + t for i, t in enumerate(texts)]
+    found = editprint.prints([editprint.classes(t) for t in [*texts, *headed]])
+    own, near = found.take(slice(0, 20)), found.take(slice(20, None))
+    assert (editprint.likeness(own, near) >= editprint.ALIKE).mean() > share
+    assert editprint.likeness(own.take(slice(0, 19)), near.take(slice(1, None))).max() < 0.4
+
+
+def test_walks_read_whole_texts_whoever_goes_beside_them():
+    draw = np.random.default_rng(5)
+    texts = [editprint.classes(prose(i, int(draw.integers(1, 900)))) for i in range(20)] + [editprint.classes(""), editprint.classes("a")]
+    beside = editprint._walk(texts)
+    for i, t in enumerate(texts):
+        alone = editprint._walk([t])
+        for walk in range(editprint.WALKS):
+            wrote, k = beside[walk][i], 0
+            assert np.array_equal(alone[walk][0], wrote)
+            for step, symbol in enumerate(wrote.tolist()):
+                assert symbol == t[k]
+                k += editprint._COINS[step % editprint.COINS, walk, symbol]
+            assert k == len(t)
+
+
 def test_quality(spark):
     rows = [(i, prose(i, 60) if i % 2 else prose(i, 60).upper().replace(" ", "!! "), "en", "s") for i in range(300)]
     rows += [(900, None, "en", "s"), (901, "", "en", "s"), (None, prose(1, 20), "en", "s"), (902, prose(2, 20000), "en", "s")]
