@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -9,14 +10,14 @@ from pyspark.sql import functions as F
 
 from permeate.functions.missing import finite, ratio
 from permeate.functions.timing import HOUR, SECOND, width
-from permeate.operators.ordering import UNIT, frames, ordered_pieces, own_rows, running
+from permeate.operators.ordering import BLOCK_ROWS, UNIT, frames, ordered_pieces, own_rows, running
 from permeate.storage import attach
 
-# Readings are summed as decimals: adding a row and later taking it away again leaves no trace,
-# and the result does not depend on how the series was cut.  What is summed is the distance from the
-# unit's median; a reading farther away than ``FARTHEST`` is taken for a fault, like an infinite one.
-_EXACT, _SQUARE, _DIGITS, _SQUARE_DIGITS = "decimal(20,12)", "decimal(38,16)", 12, 16
-FARTHEST = 1e8
+# Moments are held as mergeable triples (count, mean, sum of squared deviations): a frame is cut
+# into at most two parts that each grow from a fixed end, Spark's window aggregates fold each part
+# row by row (Welford's update), and the two parts are joined by Chan's formula.  No row is ever
+# taken out of a sum again, so nothing cancels, nothing overflows a fixed scale, and every finite
+# reading counts however far it lies from the others.
 
 _EVENT = ("_at", "_slot", "_kind", "_place", "_piece")
 
@@ -32,38 +33,30 @@ def derivatives(
     )
 
 
-def _centred(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Add per column ``_m_…``, the unit's median (nearly), and ``_y_…``, the exact distance from it."""
-    medians = [F.coalesce(F.percentile_approx(finite(F.col(c)), 0.5), F.lit(0.0)).alias(f"_m_{c}") for c in columns]
-    near = attach(df, df.groupBy(*keys).agg(*medians), keys)
-    away = {c: finite(F.col(c)) - F.col(f"_m_{c}") for c in columns}
-    return near.withColumns({f"_y_{c}": F.when(F.abs(y) < FARTHEST, y).cast(_EXACT) for c, y in away.items()})
+def _moments(value: Column, w: WindowSpec) -> tuple[Column, Column, Column]:
+    """Count, mean and sum of squared deviations of ``value`` over the frame ``w``; 0, 0, 0 when empty."""
+    n = F.count(value).over(w)
+    # The mean is taken from the frame's first reading, so equal readings have exactly their mean.
+    first = F.first(value, ignorenulls=True).over(w)
+    mean = first + F.avg(value - first).over(w)
+    return n, F.coalesce(mean, F.lit(0.0)), F.coalesce(F.var_pop(value).over(w) * n, F.lit(0.0))
 
 
-def _twofold(total: Column, digits: int) -> tuple[Column, Column]:
-    """A decimal as the sum of two doubles."""
-    high = total.cast("double")
-    return high, (total.cast(f"decimal(38,{digits})") - high.cast(f"decimal(38,{digits})")).cast("double")
+def _joined(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column]) -> tuple[Column, Column, Column]:
+    """The triple of two disjoint parts (Chan, Golub and LeVeque); an empty part changes nothing."""
+    (na, ma, qa), (nb, mb, qb) = a, b
+    n = na + nb
+    share = F.when(n > 0, nb.cast("double") / n).otherwise(F.lit(0.0))
+    d = mb - ma
+    return n, ma + d * share, qa + qb + d * d * na.cast("double") * share
 
 
-def _product(a: Column, b: Column) -> tuple[Column, Column]:
-    """The exact product of two doubles as the sum of two doubles."""
-
-    def halves(x: Column) -> tuple[Column, Column]:
-        wide = x * F.lit(134217729.0)
-        top = wide - (wide - x)
-        return top, x - top
-
-    (a1, a2), (b1, b2), high = halves(a), halves(b), a * b
-    return high, ((a1 * b1 - high) + a1 * b2 + a2 * b1) + a2 * b2
-
-
-def _deviation(n: Column, total: Column, squares: Column) -> Column:
-    """Sample deviation from exact sums; the two large terms are subtracted in double-double."""
-    (s, s_low), (q, q_low), m = _twofold(total, _DIGITS), _twofold(squares, _SQUARE_DIGITS), n.cast("double")
-    (ss, ss_low), (mq, mq_low) = _product(s, s), _product(m, q)
-    spread = (mq - ss) + ((mq_low + m * q_low) - (ss_low + F.lit(2.0) * s * s_low))
-    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (m * (m - 1))))
+def _forms(n: Column, mean: Column, squares: Column) -> dict[str, Column]:
+    """Mean (rows > 0) and sample deviation (rows > 1); a deviation beyond the range of doubles is infinite."""
+    return {
+        "mean": F.when(n > 0, mean),
+        "std": F.when(n > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (n - 1).cast("double"))),
+    }
 
 
 def _with_expiries(df: DataFrame, widths: Sequence[int], values: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -84,6 +77,11 @@ def _with_expiries(df: DataFrame, widths: Sequence[int], values: Sequence[str],
     return ordered_pieces(events, keys, ("_at", "_kind", "seq"), "windows")
 
 
+def _span(us: Column, wide: int) -> Column:
+    """Number of the span of ``wide`` microseconds that holds ``us``, in integers (floors negatives)."""
+    return ((us - F.pmod(us, F.lit(wide))) / F.lit(wide)).cast("long")
+
+
 def time_statistics(
     df: DataFrame,
     columns: Sequence[str],
@@ -93,34 +91,53 @@ def time_statistics(
 ) -> DataFrame:
     """Mean and sample deviation over the last 6/12/24 hours, ``(t - w, t]``, missing skipped.
 
-    A row enters a running sum once and leaves it once per window, so the work per row does not
-    grow with the number of rows a window holds.
+    Time is cut into spans of one window width, so a window holds the tail of the span before
+    its row and the head of its own span up to the row.  The head is a growing frame in time
+    order; the tail is a growing frame in reverse order, read off at a probe placed at ``t - w``.
+    Rows are told apart by (keys, us, seq), the order the series already needs; NaN and infinite
+    readings are missing, every finite one counts.  One task holds one unit's rows of one span.
     """
+    keys = list(keys)
     widths = [width(w) for w in windows]
-    centres = [f"_{x}_{c}" for c in columns for x in ("m", "y")]
-    events = _with_expiries(_centred(df, columns, keys), widths, [*columns, *centres], keys)
-    sources = {}
-    for i, label in enumerate(windows):
-        sign = F.when(F.col("_slot") == -1, 1).when(F.col("_slot") == i, -1)
+    narrow = df.select(*keys, "us", "seq", *[finite(F.col(c)).alias(f"_v_{c}") for c in columns])
+    events = []
+    for i, wide in enumerate(widths):
+        span = _span(F.col("us"), wide)
+        own = [F.col(f"_v_{c}") for c in columns]
+        none = [F.lit(None).cast("double").alias(f"_v_{c}") for c in columns]
+        events.append(narrow.select(*keys, "us", "seq", F.lit(i).alias("_w"), span.alias("_b"), F.col("us").alias("_at"), F.lit(0).alias("_kind"), *own))
+        events.append(narrow.select(*keys, "us", "seq", F.lit(i).alias("_w"), (span - 1).alias("_b"), (F.col("us") - wide).alias("_at"), F.lit(1).alias("_kind"), *none))
+    whole = events[0]
+    for more in events[1:]:
+        whole = whole.unionByName(more)
+    part = Window.partitionBy(*keys, "_w", "_b")
+    head = part.orderBy("_at", "_kind", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    # A probe comes before rows of its own instant in reverse order: those lie outside the window.
+    tail = part.orderBy(F.desc("_at"), F.desc("_kind"), F.desc("seq")).rowsBetween(Window.unboundedPreceding, 0)
+    moments = {}
+    for c in columns:
+        v = F.col(f"_v_{c}")
+        for name, frame in (("h", head), ("t", tail)):
+            n, m, q = _moments(v, frame)
+            moments.update({f"_{name}n_{c}": n, f"_{name}m_{c}": m, f"_{name}q_{c}": q})
+    folded = whole.repartition(*keys, "_w", "_b").withColumns(moments)
+    picks = []
+    for i, _ in enumerate(widths):
         for c in columns:
-            exact = F.col(f"_y_{c}")
-            sources[f"_s_{c}_{label}"] = F.when(sign == 1, exact).when(sign == -1, -exact)
-            sources[f"_c_{c}_{label}"] = F.when(exact.isNotNull(), sign).cast("long")
-            if "std" in statistics:
-                square = (exact * exact).cast(_SQUARE)
-                sources[f"_q_{c}_{label}"] = F.when(sign == 1, square).when(sign == -1, -square)
-    sums = {f"_run{name}": ("sum", value) for name, value in sources.items()}
-    rows = running(events, sums, keys=keys, pieces=True).filter(F.col("_slot") == -1)
+            for name, kind in (("h", 0), ("t", 1)):
+                mine = (F.col("_w") == i) & (F.col("_kind") == kind)
+                picks += [F.max(F.when(mine, F.col(f"_{name}{x}_{c}"))).alias(f"_{name}{x}_{c}_{i}") for x in "nmq"]
+    per_row = folded.groupBy(*keys, "us", "seq").agg(*picks)
     out = {}
-    for label in windows:
+    for i, label in enumerate(windows):
         for c in columns:
-            n = F.col(f"_run_c_{c}_{label}")
-            s = F.col(f"_run_s_{c}_{label}")
-            if "mean" in statistics:
-                out[f"{c}_mean_{label}"] = F.when(n > 0, F.col(f"_m_{c}") + s.cast("double") / n)
-            if "std" in statistics:
-                out[f"{c}_std_{label}"] = _deviation(n, s, F.col(f"_run_q_{c}_{label}"))
-    return rows.withColumns(out).drop(*sums, *centres, *_EVENT)
+            n, mean, squares = _joined(
+                *[tuple(F.col(f"_{name}{x}_{c}_{i}") for x in "nmq") for name in ("t", "h")]
+            )
+            forms = _forms(n, mean, squares)
+            out.update({f"{c}_{s}_{label}": forms[s] for s in statistics})
+    stats = per_row.select(*keys, "us", "seq", *[v.alias(k) for k, v in out.items()])
+    return df.drop(*[k for k in out if k in df.columns]).join(stats, [*keys, "us", "seq"], "left")
 
 
 def rolling_slopes(
@@ -169,25 +186,41 @@ def lag_features(
     return own_rows(near.withColumns({f"{column}_lag_{k}": F.lag(column, k).over(w) for k in lags}))
 
 
-def _moving_sums(near: DataFrame, w: WindowSpec, columns: Sequence[str], sizes: Sequence[int], squares: bool) -> tuple[DataFrame, list[str]]:
-    """Count, sum (and sum of squares) over the last k rows, as differences of running sums.
+def _moving_moments(
+    near: DataFrame, w: WindowSpec, keys: Sequence[str], columns: Sequence[str], sizes: Sequence[int]
+) -> tuple[DataFrame, list[str], dict]:
+    """(count, mean, squares) over the last k rows, missing skipped.
 
-    The running sums restart in every block; ``near`` reaches back far enough for each k.
+    Rows are cut into runs of k by their number; the last k rows are the tail of the run before
+    (from row i - k + 1 on) and the head of the row's own run (up to row i), each a growing frame.
+    ``near`` must come from blocks of a multiple of every k that reach back k - 1 rows.
     """
-    whole = w.rowsBetween(Window.unboundedPreceding, 0)
-    totals, moving = {}, {}
-    for c in columns:
-        exact = F.col(f"_y_{c}")
-        totals[f"_c_{c}"] = F.count(exact).over(whole)
-        totals[f"_s_{c}"] = F.sum(exact).over(whole)
-        if squares:
-            totals[f"_q_{c}"] = F.sum((exact * exact).cast(_SQUARE)).over(whole)
-    for name in totals:
-        for k in sizes:
-            gone = F.coalesce(F.lag(name, k).over(w), F.lit(0))
-            moving[f"{name}_{k}"] = F.coalesce(F.col(name), F.lit(0)) - gone
-    centres = [f"_{x}_{c}" for c in columns for x in ("m", "y")]
-    return near.withColumns(totals).withColumns(moving), [*totals, *moving, *centres]
+    made, triples = [], {}
+    for k in sizes:
+        run = f"_run_{k}"
+        near = near.withColumn(run, F.expr(f"rn div {k}"))
+        part = Window.partitionBy(*keys, "_block", run)
+        head = part.orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
+        tail = part.orderBy(F.desc("rn")).rowsBetween(Window.unboundedPreceding, 0)
+        for c in columns:
+            v = finite(F.col(c))
+            names = {f"_{p}{x}_{c}_{k}": e for p, frame in (("h", head), ("t", tail)) for x, e in zip("nmq", _moments(v, frame))}
+            near = near.withColumns(names)
+            made += names
+            whole_run = F.col("rn") % k == k - 1  # the head alone is the whole frame
+            earlier = tuple(F.coalesce(F.lag(f"_t{x}_{c}_{k}", k - 1).over(w), F.lit(0)) for x in "nmq")
+            own = tuple(F.col(f"_h{x}_{c}_{k}") for x in "nmq")
+            both = _joined(earlier, own)
+            triples[(c, k)] = tuple(F.when(whole_run, o).otherwise(j) for o, j in zip(own, both))
+        made.append(run)
+    return near, made, triples
+
+
+def _row_blocks(sizes: Sequence[int], blocks: dict) -> dict:
+    """Blocks of a multiple of every window size, at least as many rows as asked for."""
+    step = math.lcm(*sizes)
+    asked = blocks.get("block_rows", BLOCK_ROWS)
+    return {**blocks, "block_rows": step * -(-asked // step)}
 
 
 def _moving_extremes(near: DataFrame, w: WindowSpec, column: str, sizes: Sequence[int], kinds: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -225,13 +258,12 @@ def moving_average(
     suffix: str = "_sma",
     **blocks,
 ) -> DataFrame:
-    """Mean of the last ``rows`` rows, from the first row on; missing readings are skipped."""
-    near, w = frames(_centred(ordered, columns, keys), rows, keys=keys, **blocks)
-    summed, made = _moving_sums(near, w, columns, [rows], squares=False)
+    """Mean of the last ``rows`` rows, from the first row on; NaN, infinite and missing readings are skipped."""
+    near, w = frames(ordered, rows - 1, keys=keys, **_row_blocks([rows], blocks))
+    near = near.repartition(*keys, "_block")
+    near, made, triples = _moving_moments(near, w, keys, columns, [rows])
     return own_rows(
-        summed.withColumns(
-            {f"{c}{suffix}": F.col(f"_m_{c}") + ratio(F.col(f"_s_{c}_{rows}"), F.col(f"_c_{c}_{rows}")) for c in columns}
-        )
+        near.withColumns({f"{c}{suffix}": _forms(*triples[(c, rows)])["mean"] for c in columns})
     ).drop(*made)
 
 
@@ -246,13 +278,14 @@ def row_statistics(
     """Mean, deviation, minimum and maximum over the last 12/72/288 rows.
 
     The work per row does not grow with the number of rows in the frame (mean, deviation) or
-    grows with its logarithm (extremes).
+    grows with its logarithm (extremes).  NaN and infinite readings are missing.
     """
-    summing = bool({"mean", "std"} & set(statistics))
-    near, w = frames(_centred(ordered, [column], keys) if summing else ordered, max(sizes), keys=keys, **blocks)
+    near, w = frames(ordered, max(sizes) - 1, keys=keys, **_row_blocks(sizes, blocks))
+    near = near.repartition(*keys, "_block")
     made: list[str] = []
-    if summing:
-        near, names = _moving_sums(near, w, [column], sizes, squares="std" in statistics)
+    triples = {}
+    if {"mean", "std"} & set(statistics):
+        near, names, triples = _moving_moments(near, w, keys, [column], sizes)
         made += names
     kinds = [m for m in ("min", "max") if m in statistics]
     if kinds:
@@ -260,15 +293,10 @@ def row_statistics(
         made += names
     out = {}
     for k in sizes:
-        n, total = F.col(f"_c_{column}_{k}"), F.col(f"_s_{column}_{k}")
-        forms = {
-            "mean": lambda: F.col(f"_m_{column}") + ratio(total, n),
-            "std": lambda: _deviation(n, total, F.col(f"_q_{column}_{k}")),
-            "min": lambda: F.col(f"_minof_{k}"),
-            "max": lambda: F.col(f"_maxof_{k}"),
-        }
+        forms = _forms(*triples[(column, k)]) if triples else {}
+        forms.update({"min": F.col(f"_minof_{k}"), "max": F.col(f"_maxof_{k}")})
         for s in statistics:
-            out[f"{column}_roll_{s}_{k}"] = forms[s]()
+            out[f"{column}_roll_{s}_{k}"] = forms[s]
     return own_rows(near.withColumns(out)).drop(*made)
 
 

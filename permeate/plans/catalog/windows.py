@@ -48,25 +48,30 @@ def rolling_mean(spark, sf):
     return out.select("unit_id", "seq", *rounded(*names))
 
 
+# Infinite readings are missing; readings far away (5e8) and a counter beyond 3e8 stay in.
 _FAULTS = LOG_SQL + """, faulty as (select unit_id, us, seq, 1234567.8e0 + case when seq % 3 = 0 then 1e-3 else 0 end as total,
-    case when seq % 50 <> 0 then tmp end as tmp from log)"""
+    3e8 + seq * 1e3 as counter,
+    case when seq % 100 = 0 then null when seq % 100 = 50 then 5e8 else tmp end as tmp from log)"""
 
 
 @query(
     "e2_e3_faults_and_totals",
     "select unit_id, seq, "
-    + ", ".join(f"round({f}({c}) over {_range(24)}, 6) as {c}_{n}_24h" for n, f in (("mean", "avg"), ("std", "stddev_samp")) for c in ("total", "tmp"))
+    + ", ".join(f"round({f}({c}) over {_range(24)}, 2) as {c}_{n}_24h" for n, f in (("mean", "avg"), ("std", "stddev_samp")) for c in ("total", "counter", "tmp"))
     + " from faulty",
     _FAULTS,
 )
 def faults_and_totals(spark, sf):
-    """A totaliser that hardly moves, and readings among which some are infinite or absurd."""
+    """A totaliser that hardly moves, a counter far from its median, and readings among which
+    some are infinite (missing) or far away (kept)."""
     seq = F.col("seq")
-    fault = F.when(seq % 100 == 0, float("inf")).when(seq % 100 == 50, 1e30)
+    fault = F.when(seq % 100 == 0, float("inf")).when(seq % 100 == 50, 5e8)
     log = _log(spark, sf, "tmp").withColumn("tmp", F.coalesce(fault, F.col("tmp")))
     log = log.withColumn("total", F.lit(1234567.8) + F.when(seq % 3 == 0, 1e-3).otherwise(0.0))
-    out = w.time_statistics(log, ["total", "tmp"], ("24h",))
-    return out.select("unit_id", "seq", *rounded(*[f"{c}_{n}_24h" for n in ("mean", "std") for c in ("total", "tmp")]))
+    log = log.withColumn("counter", F.lit(3e8) + seq.cast("double") * 1e3)
+    out = w.time_statistics(log, ["total", "counter", "tmp"], ("24h",))
+    names = [f"{c}_{n}_24h" for n in ("mean", "std") for c in ("total", "counter", "tmp")]
+    return out.select("unit_id", "seq", *rounded(*names, digits=2))
 
 
 @query(

@@ -63,9 +63,10 @@ def test_constant_readings_have_zero_deviation(spark):
     assert out.agg(F.max("v_std_6h")).first()[0] < 1e-6
 
 
-def test_large_totals_infinite_and_absurd_readings(spark):
+def test_large_totals_infinite_and_far_readings(spark):
+    """Infinite readings are missing; every finite one counts, however far it lies (no cut)."""
     def reading(i):
-        return float("inf") if i % 50 == 7 else 1e300 if i % 50 == 9 else 1.0
+        return float("inf") if i % 50 == 7 else 1e150 if i % 50 == 9 else 1.0
 
     rows = [("u", i * MINUTE, i, 1e6 + (i % 2) * 1e-3, 1234567.8, reading(i)) for i in range(400)]
     log = make(spark, rows, "unit_id string, us long, seq long, toggling double, constant double, faulty double")
@@ -74,11 +75,35 @@ def test_large_totals_infinite_and_absurd_readings(spark):
     last = rolling.time_statistics(log, names, ("6h",)).filter("rn = 399").first()
     assert abs(last.toggling_std_6h / np.std([0, step] * 180, ddof=1) - 1) < 1e-8
     assert last.constant_std_6h == 0 and last.constant_mean_6h == 1234567.8
-    assert last.faulty_mean_6h == 1.0 and last.faulty_std_6h == 0
+    kept = [reading(i) for i in range(40, 400) if i % 50 != 7]
+    assert abs(last.faulty_mean_6h / np.mean(kept) - 1) < 1e-12
+    assert abs(last.faulty_std_6h / np.std(kept, ddof=1) - 1) < 1e-9
     by_row = rolling.row_statistics(log, "toggling", (72,)).filter("rn = 399").first()
     assert abs(by_row.toggling_roll_std_72 / np.std([0, step] * 36, ddof=1) - 1) < 1e-8
 
 
+def test_counter_beyond_a_trillion_and_two_levels(spark):
+    """A counter far from its median and a reading that jumps between 0 and 9e7 every second."""
+    rows = [("u", i * 1_000_000, i, 1e12 + 977.0 * i, 0.0 if i % 2 else 9e7) for i in range(3000)]
+    log = make(spark, rows, "unit_id string, us long, seq long, counter double, level double")
+    got = frame_of(rolling.time_statistics(log, ["counter", "level"], ("1000s",)), ["counter_mean_1000s", "counter_std_1000s", "level_mean_1000s", "level_std_1000s"])
+    by_row = frame_of(rolling.row_statistics(log, "level", (288,), ("mean", "std")), ["level_roll_mean_288", "level_roll_std_288"])
+    sma = frame_of(rolling.moving_average(log, ["counter"], 50), ["counter_sma"])
+    for i in (0, 1, 999, 1000, 1777, 2999):
+        window = rows[max(0, i - 999) : i + 1]
+        for name, at in (("counter", 3), ("level", 4)):
+            values = np.array([r[at] for r in window])
+            assert abs(got[f"{name}_mean_1000s"][i] / values.mean() - 1) < 1e-12
+            if i:
+                assert abs(got[f"{name}_std_1000s"][i] / values.std(ddof=1) - 1) < 1e-9
+        levels = np.array([r[4] for r in rows[max(0, i - 287) : i + 1]])
+        assert abs(by_row["level_roll_mean_288"][i] - levels.mean()) < 1e-6
+        if i:
+            assert abs(by_row["level_roll_std_288"][i] / levels.std(ddof=1) - 1) < 1e-9
+        counters = np.array([r[3] for r in rows[max(0, i - 49) : i + 1]])
+        assert abs(sma["counter_sma"][i] / counters.mean() - 1) < 1e-14
+
+
 @pytest.mark.parametrize("block_rows", [20, 10_000])
 def test_dropped_rows_leave_no_holes(log, block_rows):
     s, _ = series_of(log)
