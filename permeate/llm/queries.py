@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from permeate.llm import decontaminate, editprint, jaccard, langid, lines, lm, mixing, quality, sharding, warc
+from permeate.llm import decontaminate, editprint, jaccard, langid, lines, lm, mixing, quality, sharding, simhash, warc
 from permeate.llm.tables import table
 
 QUERIES: dict = {}
@@ -70,3 +70,8 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_shards")
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.documents_sharded(table(spark, sf_dir, "documents"))
+
+
+@query("op11_simhash")
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"))
