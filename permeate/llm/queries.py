@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from permeate.llm import decontaminate, editprint, jaccard, langid, lines, lm, mixing, quality, sharding, simhash, warc
+from permeate.llm import collocations, decontaminate, editprint, jaccard, langid, lines, lm, mixing, quality, sharding, simhash, warc
 from permeate.llm.tables import table
 
 QUERIES: dict = {}
@@ -75,3 +75,8 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_simhash")
 def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query("op13_collocations", collocations.SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
