@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from permeate.llm import collocations, decontaminate, editprint, jaccard, langid, lines, lm, mixing, quality, sharding, simhash, warc
+from permeate.llm import alignment, collocations, decontaminate, editprint, jaccard, langid, lines, lm, mixing, quality, sharding, simhash, warc
 from permeate.llm.tables import table
 
 QUERIES: dict = {}
@@ -80,3 +80,8 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_collocations", collocations.SQL)
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(table(spark, sf_dir, "documents"))
