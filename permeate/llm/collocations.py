@@ -9,7 +9,8 @@ Counting by top-order marginalisation: every word occurrence opens one lead wind
 ``ORDER`` words from it on, padded with NULL where its piece ends, and only these windows are
 counted.  An n-gram occurs once for each window that begins with it, so a ROLLUP over the window's
 words sums the counts of successively shorter prefixes and gives every f at once, instead of one
-explosion per n-gram length.
+explosion per n-gram length.  Windows hold word numbers (numbered words tell their language), and
+a window stops before a word of fewer than ``LEAST`` occurrences, which no counted phrase holds.
 
 Candidates are phrases of 2 to ``ORDER`` words with ``a = f >= LEAST``.  A candidate's cut after
 its first k words scores ``floor(2000000 * a / (l + r))`` with l, r the counts of both parts; the
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from permeate.llm.tables import pick, stored
+from permeate.llm.tables import BROADCAST_ROWS, numbered, pick, stored
 
 ORDER = 4
 LEAST = 30
@@ -46,28 +47,50 @@ def _words(docs: DataFrame) -> DataFrame:
     return pieces.select("lang", F.filter(F.split("piece", _WORDS), lambda x: x != "").alias("ws")).where(F.size("ws") > 0)
 
 
-def windows(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """lang, w1 .. w_order, c: how many word occurrences open each lead window."""
+def _numbered_words(opened: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """(lang, n) and the words of at least ``least`` occurrences, numbered across languages.
+
+    A word of fewer occurrences is in no phrase of ``least`` occurrences, so lead windows stop
+    before it: this changes no count that can reach ``least``.
+    """
+    words = stored(opened.groupBy("lang", "w1").agg(F.count("*").alias("f")), "collocation-words")
+    n = words.groupBy("lang").agg(F.sum("f").cast("long").alias("n"))
+    frequent = words.where(F.col("f") >= least).select("lang", F.col("w1").alias("word"))
+    return n, numbered(frequent, [F.col("lang"), F.col("word")], "collocation-vocabulary", "id")
+
+
+def windows(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lead windows w1 .. w_order (word numbers, which also tell the language) with their count
+    c, the numbered words (lang, word, id) and (lang, n)."""
     ws = _words(docs)
     opened = ws.select("lang", "ws", F.posexplode("ws").alias("i", "w1"))
-    lead = [F.get("ws", F.col("i") + k).alias(f"w{k + 1}") for k in range(1, order)]  # NULL past the piece's end
-    return opened.select("lang", "w1", *lead).groupBy("lang", *[f"w{k}" for k in range(1, order + 1)]).agg(
-        F.count("*").alias("c")
-    )
+    n, vocabulary = _numbered_words(opened, least)
+    lead = opened.select("lang", *[F.get("ws", F.col("i") + k).alias(f"w{k + 1}") for k in range(order)])
+    rows = vocabulary.count()
+    for k in range(1, order + 1):
+        side = vocabulary.select("lang", F.col("word").alias(f"w{k}"), F.col("id").alias(f"_id{k}"))
+        side = F.broadcast(side) if rows <= BROADCAST_ROWS else side
+        lead = lead.join(side, ["lang", f"w{k}"], "inner" if k == 1 else "left")
+    # A window ends before its first missing word: past the piece's end or a rare word.
+    ids, kept = [], F.lit(True)
+    for k in range(1, order + 1):
+        kept = kept & F.col(f"_id{k}").isNotNull()
+        ids.append(F.when(kept, F.col(f"_id{k}")).alias(f"w{k}"))
+    counted = lead.select(*ids).groupBy(*[f"w{k}" for k in range(1, order + 1)]).agg(F.count("*").alias("c"))
+    return counted, vocabulary, n
 
 
 def counts(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, ws, f) of all phrases of up to ``order`` words with f >= ``least``, and (lang, n)."""
     names = [f"w{k}" for k in range(1, order + 1)]
-    levels = {k: (1 << (order - k)) - 1 for k in range(order + 1)}  # words kept -> grouping id
+    levels = {k: (1 << (order - k)) - 1 for k in range(1, order + 1)}  # words kept -> grouping id
+    counted, vocabulary, n = windows(docs, order, least)
     rolled = stored(
-        stored(windows(docs, order), "collocation-windows")
-        .rollup("lang", *names)
+        counted.rollup(*names)
         .agg(F.sum("c").alias("f"), F.grouping_id().alias("_g"))
-        .where(F.col("lang").isNotNull() & ((F.col("f") >= least) | (F.col("_g") == levels[0]))),
+        .where(F.col("w1").isNotNull() & (F.col("f") >= least)),
         "collocation-rollup",
     )
-    n = rolled.where(F.col("_g") == levels[0]).select("lang", F.col("f").cast("long").alias("n"))
     parts = []
     for k in range(1, order + 1):
         kept = [F.col(c) for c in names[:k]]
@@ -75,14 +98,22 @@ def counts(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[Dat
         for c in kept:
             known = known & c.isNotNull()
         parts.append(
-            rolled.where((F.col("_g") == levels[k]) & known & (F.col("f") >= least)).select(
-                "lang", F.lit(k).alias("k"), F.array(*kept).alias("ws"), F.col("f").cast("long").alias("f")
+            rolled.where((F.col("_g") == levels[k]) & known).select(
+                F.lit(k).alias("k"), F.array(*kept).alias("ids"), F.col("f").cast("long").alias("f")
             )
         )
     frequent = parts[0]
     for more in parts[1:]:
         frequent = frequent.unionByName(more)
-    return frequent.withColumn("phrase", F.array_join("ws", " ")), n
+    # Back from numbers to words: one row per frequent phrase and word.
+    spelled = (
+        frequent.select("k", "ids", "f", F.posexplode("ids").alias("at", "id"))
+        .join(vocabulary, "id")
+        .groupBy("k", "ids", "f")
+        .agg(F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("at", "word"))).alias("spelt"))
+        .select("lang", "k", F.col("spelt.word").alias("ws"), "f")
+    )
+    return spelled.withColumn("phrase", F.array_join("ws", " ")), n
 
 
 def collocations(docs: DataFrame, order: int = ORDER, least: int = LEAST, top: int = TOP) -> DataFrame:
