@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -34,8 +36,12 @@ from permeate.llm.tables import BROADCAST_ROWS, pick, stored
 #: Where the vocabulary files are; a parameter, the files are read once on the driver and shipped.
 TOKENIZERS = "/opt/tokenizers"
 A_FILE = "byte_bpe_50k.json"
+#: Code points of text encoded at once; longer texts are cut into segments of about so many.
+PIECE = 1 << 18
 B_FILE = "piece_bpe_32k.model"
 
+_WORD_START = re.compile(r"(?<=[^ \t\n\x0b\x0c\r]) (?=[^ \t\n\x0b\x0c\r])")
+
 _SHAPE = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
     "pair_a array<int>, pair_b array<int>, pair_m array<long>"
@@ -83,17 +89,21 @@ class Vocabularies:
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Per text, the A ids and the B ids, or None where the text has no tokens."""
-        wanted = [i for i, t in enumerate(texts) if t]
+        """Per text, the A ids and the B ids, or None where the text has no tokens.
+
+        A text is encoded in segments cut before a blank that follows a non-blank and precedes a
+        non-blank: both tokenizers start a token there (A's pre-tokens begin with such a blank,
+        B splits at it), so the tokens are those of the whole text; the joined bytes are checked.
+        """
         out: list = [None] * len(texts)
-        if not wanted:
-            return out
-        a_all = self.a.encode_batch([" " + texts[i] for i in wanted], add_special_tokens=False)
-        b_all = self.b.encode([texts[i] for i in wanted], num_threads=1)
-        for i, ea, b in zip(wanted, a_all, b_all, strict=True):
-            target = (" " + texts[i]).encode("utf-8")
-            a = np.asarray(ea.ids, np.int64)
-            b = np.asarray(b, np.int64)
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            parts = cut(t)
+            a = [np.asarray(e.ids, np.int64) for e in self.a.encode_batch([" " + x for x in parts], add_special_tokens=False)]
+            b = [np.asarray(x, np.int64) for x in self.b.encode(parts, num_threads=1)]
+            a, b = np.concatenate(a), np.concatenate(b)
+            target = (" " + t).encode("utf-8")
             if int(self.a_len[a].sum()) != len(target) or int(self.b_len[b].sum()) != len(target):
                 continue
             if b"".join(self.a_bytes[x] for x in a.tolist()) != target or b"".join(self.b_bytes[x] for x in b.tolist()) != target:
@@ -102,6 +112,21 @@ class Vocabularies:
         return out
 
 
+def cut(text: str, piece: int | None = None) -> list[str]:
+    """``text`` in segments of about ``piece`` code points; from the second on, each stands for
+    the blank before it, which is left out (both tokenizers put it back as a word start)."""
+    piece = piece or PIECE
+    out, start = [], 0
+    while len(text) - start > piece:
+        found = _WORD_START.search(text, start + piece)
+        if found is None:
+            break
+        out.append(text[start : found.start()])
+        start = found.start() + 1
+    out.append(text[start:])
+    return out
+
+
 @lru_cache(maxsize=2)
 def _vocabularies(a_json: str, b_model: bytes) -> Vocabularies:
     return Vocabularies(a_json, b_model)
@@ -155,46 +180,66 @@ def groups_text(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarr
 
 def _aligner(a_json, b_model):
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks side by side
         vocab = _vocabularies(a_json.value, b_model.value)
-        for batch in batches:
-            texts = [None if t is None or (isinstance(t, float)) else t for t in batch["text"]]
-            encoded = vocab.encode(texts)
-            seen = [i for i, e in enumerate(encoded) if e is not None]
-            a_ends = [np.cumsum(vocab.a_len[encoded[i][0]]) for i in seen]
-            b_ends = [np.cumsum(vocab.b_len[encoded[i][1]]) for i in seen]
-            ld, la, lb, cd, ca, cb = lockstep(a_ends, b_ends)
-            rows = len(texts)
-            n_a, n_b, n_groups, n_links = (np.zeros(rows, np.int64) for _ in range(4))
-            sha = [""] * rows
-            pair_a, pair_b, pair_m = [[] for _ in range(rows)], [[] for _ in range(rows)], [[] for _ in range(rows)]
-            link_at = np.searchsorted(ld, np.arange(len(seen) + 1))
-            cut_at = np.searchsorted(cd, np.arange(len(seen) + 1))
-            for k, i in enumerate(seen):
-                a, b = encoded[i]
-                n_a[i], n_b[i] = len(a), len(b)
-                ks, ke, cs, ce = link_at[k], link_at[k + 1], cut_at[k], cut_at[k + 1]
-                n_links[i], n_groups[i] = ke - ks, ce - cs
-                sha[i] = hashlib.sha256(groups_text(a, b, ca[cs:ce], cb[cs:ce]).encode()).hexdigest()
-                ids = a[la[ks:ke]] * (1 << 32) + b[lb[ks:ke]]
-                pairs, m = np.unique(ids, return_counts=True)
-                pair_a[i], pair_b[i], pair_m[i] = (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32), m.astype(np.int64)
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"].astype("Int64"),
-                    "n_a": n_a,
-                    "n_b": n_b,
-                    "n_groups": n_groups,
-                    "n_links": n_links,
-                    "groups_sha256": sha,
-                    "pair_a": pair_a,
-                    "pair_b": pair_b,
-                    "pair_m": pair_m,
-                }
-            )
+        for whole in batches:
+            for batch in _slices(whole):
+                yield _aligned_slice(vocab, batch)
 
     return align
 
 
+def _slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows of about PIECE code points of text together; a longer text is a slice of its own."""
+    sizes = np.array([len(t) if isinstance(t, str) else 0 for t in batch["text"]], np.int64)
+    start, n = 0, len(batch)
+    while start < n:
+        end, held = start + 1, sizes[start]
+        while end < n and held + sizes[end] <= PIECE:
+            held += sizes[end]
+            end += 1
+        yield batch.iloc[start:end].reset_index(drop=True)
+        start = end
+
+
+def _aligned_slice(vocab: Vocabularies, batch: pd.DataFrame) -> pd.DataFrame:
+    """The figures and linked id pairs of the rows of one slice, merged in lockstep."""
+    texts = [None if t is None or (isinstance(t, float)) else t for t in batch["text"]]
+    encoded = vocab.encode(texts)
+    seen = [i for i, e in enumerate(encoded) if e is not None]
+    a_ends = [np.cumsum(vocab.a_len[encoded[i][0]]) for i in seen]
+    b_ends = [np.cumsum(vocab.b_len[encoded[i][1]]) for i in seen]
+    ld, la, lb, cd, ca, cb = lockstep(a_ends, b_ends)
+    rows = len(texts)
+    n_a, n_b, n_groups, n_links = (np.zeros(rows, np.int64) for _ in range(4))
+    sha = [""] * rows
+    pair_a, pair_b, pair_m = [[] for _ in range(rows)], [[] for _ in range(rows)], [[] for _ in range(rows)]
+    link_at = np.searchsorted(ld, np.arange(len(seen) + 1))
+    cut_at = np.searchsorted(cd, np.arange(len(seen) + 1))
+    for k, i in enumerate(seen):
+        a, b = encoded[i]
+        n_a[i], n_b[i] = len(a), len(b)
+        ks, ke, cs, ce = link_at[k], link_at[k + 1], cut_at[k], cut_at[k + 1]
+        n_links[i], n_groups[i] = ke - ks, ce - cs
+        sha[i] = hashlib.sha256(groups_text(a, b, ca[cs:ce], cb[cs:ce]).encode()).hexdigest()
+        ids = a[la[ks:ke]] * (1 << 32) + b[lb[ks:ke]]
+        pairs, m = np.unique(ids, return_counts=True)
+        pair_a[i], pair_b[i], pair_m[i] = (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32), m.astype(np.int64)
+    return pd.DataFrame(
+        {
+            "doc_id": batch["doc_id"].astype("Int64"),
+            "n_a": n_a,
+            "n_b": n_b,
+            "n_groups": n_groups,
+            "n_links": n_links,
+            "groups_sha256": sha,
+            "pair_a": pair_a,
+            "pair_b": pair_b,
+            "pair_m": pair_m,
+        }
+    )
+
+
 def aligned(docs: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, groups_sha256 and the linked id pairs (with how often
     each is linked) of every row; ``_row`` tells rows apart."""

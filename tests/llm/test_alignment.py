@@ -99,3 +99,19 @@ def test_awkward_rows_and_empty_table(spark):
     assert len(out) == documents(spark).count()
     assert all(r.groups_sha256 == "" for r in out if r.doc_id in (100, 101))
     assert alignment.alignment_report(empty(spark)).count() == 0
+
+
+def test_long_texts_in_segments_equal_whole_encoding(monkeypatch):
+    with open(A, encoding="utf-8") as f, open(B, "rb") as g:
+        vocab = alignment.Vocabularies(f.read(), g.read())
+    texts = [prose(8, 3000) + "  double\tspaces \n new line 's 12 34 !!", "x" * 5000, " lead " + prose(9, 500)]
+    monkeypatch.setattr(alignment, "PIECE", 97)
+    assert len(alignment.cut(texts[0])) > 20
+    got = vocab.encode(texts)
+    a_tok = Tokenizer.from_file(A)
+    a_tok.encode_special_tokens = True
+    b_tok = sentencepiece.SentencePieceProcessor(model_file=B)
+    for t, g in zip(texts, got, strict=True):
+        assert g is not None
+        assert g[0].tolist() == a_tok.encode(" " + t, add_special_tokens=False).ids
+        assert g[1].tolist() == b_tok.encode(t)
