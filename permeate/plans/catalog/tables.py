@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from permeate.operators.fouling import tmp_slopes
 from permeate.operators.ordering import row_index
 from permeate.plans.adapter import LOG_SQL, once, sensor_log
-from permeate.plans.catalog.cycles import CYCLE_TABLE, cycle_table
+from permeate.plans.catalog.cycles import CYCLE_TABLE, PERIODS, cycle_table
 from permeate.plans.registry import query, rounded
 from permeate.sources.logs import read_logs, readable, unreadable_counts
 from permeate.sources.tables import file_info, load_json, load_parquet, save_csv, save_json, save_log
 from permeate.storage import shared_folder
-from permeate.streaming.ingest import DAILY_LOW, STATISTICS, current_slopes, ingest_new_files
+from permeate.streaming.ingest import DAILY_LOW, STATISTICS, current_periods, current_slopes, ingest_new_files
 
 
 def _unit():
@@ -187,6 +187,12 @@ def incremental_low(spark, sf):
     return spark.read.parquet(f"{ingested(spark, sf)}/{DAILY_LOW}").select("unit_id", "us", "n", *rounded("daily_value"))
 
 
+@query("n1_incremental_cycles", "select unit_id, period, start_us, end_us, n_rows from periods", PERIODS)
+def incremental_cycles(spark, sf):
+    """Filtration periods kept up to date by ingest, from runs per unit and day."""
+    return current_periods(spark, ingested(spark, sf)).select("unit_id", "period", "start_us", "end_us", "n_rows")
+
+
 @query(
     "n1_a12_incremental_ingest",
     """select unit_id, strftime(date_trunc('day', make_timestamp(us)), '%Y-%m-%d') as day, count(*) as n,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -15,12 +15,14 @@ from permeate.operators.fouling import daily_low
 from permeate.operators.ordering import UNIT
 from permeate.operators.quality import band_filter
 from permeate.operators.rolling import time_statistics
-from permeate.schema import bands_for
+from permeate.schema import FILTRATION, bands_for
 from permeate.sources.logs import NoLogFile, files_without_header, parse_lines, readable
 from permeate.sources.tables import save_log
 from permeate.storage import attach, stage
 
 STATISTICS, MOMENTS, DAILY_LOW = "window_statistics", "daily_moments", "daily_low"
+#: Runs of the filtration program per unit and day, and the first row and size of every day.
+CYCLE_RUNS, CYCLE_DAYS = "cycle_runs", "cycle_days"
 #: Files that could not be read, per batch, with their number of lines.
 SET_ASIDE = "files_without_header"
 
@@ -80,6 +82,85 @@ def refresh_statistics(log: DataFrame, touched: DataFrame, path: str, column: st
     _replace_days(fresh, path)
 
 
+def refresh_cycles(log: DataFrame, touched: DataFrame, store: str, program: int = FILTRATION) -> None:
+    """Rewrite the runs of ``program`` and the day figures of the days a batch touched.
+
+    A run is a longest stretch of a day's rows in the program: its first stamp, its first row's
+    place in the day, its rows, and the stamp of the row that ends it that day (NULL when the
+    run reaches the day's end).  A day's figures are its rows and its first and last row.  Both
+    depend on the day's rows alone, so a late file only rewrites the days it falls on.  One task
+    holds one unit's rows of one day.
+    """
+    if "program" not in log.columns:
+        return
+    days = _on_days(log.select("unit_id", "day", "us", "seq", "program"), touched)
+    w = Window.partitionBy("unit_id", "day").orderBy("us", "seq")
+    inside = F.col("program").eqNullSafe(program)
+    marked = days.withColumn("_in", inside).withColumns(
+        {"_k": F.row_number().over(w) - 1, "_prev": F.lag(inside).over(w), "_next_us": F.lead("us").over(w)}
+    )
+    opens = F.when(F.col("_in") & ~F.coalesce(F.col("_prev"), F.lit(False)), 1).otherwise(0)
+    place = F.struct("us", "seq")
+    runs = (
+        marked.withColumn("_run", F.sum(opens).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        .where("_in")
+        .groupBy("unit_id", "day", "_run")
+        .agg(
+            F.min("us").alias("start_us"),
+            F.min("_k").alias("start_k"),
+            F.count("*").alias("n_rows"),
+            F.max_by("_next_us", place).alias("closed_us"),
+        )
+        .drop("_run")
+    )
+    figures = marked.groupBy("unit_id", "day").agg(
+        F.count("*").alias("rows"),
+        F.min("us").alias("first_us"),
+        F.min_by("_in", place).alias("first_in"),
+        F.max("us").alias("last_us"),
+    )
+    _replace_days(runs, f"{store}/{CYCLE_RUNS}")
+    _replace_days(figures, f"{store}/{CYCLE_DAYS}")
+
+
+def current_periods(spark: SparkSession, store: str) -> DataFrame:
+    """Filtration periods of everything ingested so far, from the stored runs and day figures.
+
+    A run that reaches the end of its day goes on in the unit's next day when that day opens in
+    the program; otherwise the next day's first row ends it, or, on the last day, its own last
+    row.  Runs joined this way are one period: unit_id, period (the place of its first row in the
+    unit's log), start_us, end_us, n_rows, as the batch ``filtration_periods`` gives them.  The
+    windows below see one row per day and per run of a unit, never its log rows.
+    """
+    runs = spark.read.parquet(f"{store}/{CYCLE_RUNS}")
+    by_day = Window.partitionBy("unit_id").orderBy("day")
+    days = spark.read.parquet(f"{store}/{CYCLE_DAYS}").withColumns(
+        {
+            "_offset": F.coalesce(F.sum("rows").over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "_next_first_us": F.lead("first_us").over(by_day),
+            "_next_first_in": F.lead("first_in").over(by_day),
+        }
+    )
+    joined = runs.join(days, ["unit_id", "day"]).withColumns(
+        {
+            "_rn": F.col("_offset") + F.col("start_k"),
+            "_goes_on": F.col("closed_us").isNull() & F.coalesce(F.col("_next_first_in"), F.lit(False)),
+            "_end": F.coalesce(F.col("closed_us"), F.col("_next_first_us"), F.col("last_us")),
+        }
+    )
+    by_run = Window.partitionBy("unit_id").orderBy("day", "start_k")
+    opens = F.when(F.coalesce(F.lag("_goes_on").over(by_run), F.lit(False)), 0).otherwise(1)
+    chained = joined.withColumn("_opens", opens).withColumn(
+        "_period", F.sum("_opens").over(by_run.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    return chained.groupBy("unit_id", "_period").agg(
+        F.min("_rn").alias("period"),
+        F.min("start_us").alias("start_us"),
+        F.max_by("_end", F.struct("day", "start_k")).alias("end_us"),
+        F.sum("n_rows").alias("n_rows"),
+    ).drop("_period")
+
+
 def refresh(spark: SparkSession, store: str, batch: DataFrame) -> None:
     """Bring the store's result tables up to date after ``batch`` was added.
 
@@ -89,6 +170,7 @@ def refresh(spark: SparkSession, store: str, batch: DataFrame) -> None:
     touched = batch.select("unit_id", "day").distinct()
     log = stored_log(spark, store)
     refresh_statistics(log, touched, f"{store}/{STATISTICS}")
+    refresh_cycles(log, touched, store)
     days = _on_days(log, touched)
     good = band_filter(days, bands_for(log.columns), UNIT)
     _replace_days(moments(good, "tmp", ("unit_id", "day")), f"{store}/{MOMENTS}")

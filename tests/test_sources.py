@@ -136,3 +136,35 @@ def test_ingest_in_steps_equals_one_batch(spark, tmp_path):
     low = spark.read.parquet(f"{store}/{DAILY_LOW}").select("unit_id", "us", "daily_value", "n")
     assert low.exceptAll(daily_low(good).select(*low.columns)).count() == 0
     assert low.select(F.sum("n")).first()[0] == good.count()
+
+
+def program_rows(start_day, days, offset, step):
+    rows = []
+    for i in range(days * 24):
+        stamp = dt.datetime(2026, 1, 1 + start_day) + dt.timedelta(minutes=60 * i + offset)
+        program = 10 if (i + start_day * 24) % step < step - 2 else (21 if i % 2 else 32)
+        rows.append([stamp.strftime("%Y-%m-%d %H:%M:%S"), f"{2 + (i * 7 % 11) / 10}", f"{8 + (i * 5 % 13) / 10}", str(program)])
+    return rows
+
+
+def test_cycles_kept_up_to_date_equal_the_batch_periods(spark, tmp_path):
+    """Three batches, the second late: runs cross midnights, and late rows split and join runs."""
+    from permeate.operators.cycles import filtration_periods
+    from permeate.operators.ordering import row_index
+    from permeate.streaming.ingest import current_periods
+
+    header = ["TimeStamp", "TMP", "Permeability TC", "Active program number"]
+    for unit in ("u1", "u2"):
+        write(tmp_path / "inbox" / unit, "1.tsv", header, program_rows(0, 3, 0, 7 if unit == "u1" else 30))
+    store = str(tmp_path / "store")
+    ingest_new_files(spark, str(tmp_path / "inbox"), store)
+    write(tmp_path / "inbox" / "u1", "2.tsv", header, program_rows(1, 1, 30, 5))
+    ingest_new_files(spark, str(tmp_path / "inbox"), store)
+    write(tmp_path / "inbox" / "u2", "3.tsv", header, program_rows(3, 2, 0, 30))
+    write(tmp_path / "inbox" / "u1", "3.tsv", header, program_rows(3, 2, 0, 7))
+    ingest_new_files(spark, str(tmp_path / "inbox"), store)
+    log = stored_log(spark, store).select("unit_id", "us", "seq", "program")
+    want = filtration_periods(row_index(log))
+    got = current_periods(spark, store).select(*want.columns)
+    assert want.count() > 10 and got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
