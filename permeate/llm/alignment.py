@@ -38,6 +38,8 @@ TOKENIZERS = "/opt/tokenizers"
 A_FILE = "byte_bpe_50k.json"
 #: Code points of text encoded at once; longer texts are cut into segments of about so many.
 PIECE = 1 << 18
+#: Code points of text merged in one lockstep; the steps of a slice are those of its longest text.
+SLICE = 1 << 22
 B_FILE = "piece_bpe_32k.model"
 
 _WORD_START = re.compile(r"(?<=[^ \t\n\x0b\x0c\r]) (?=[^ \t\n\x0b\x0c\r])")
@@ -87,6 +89,10 @@ class Vocabularies:
                 self.b_bytes.append(piece.replace("▁", " ").encode("utf-8"))
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.a_blob = np.frombuffer(b"".join(self.a_bytes), np.uint8)
+        self.b_blob = np.frombuffer(b"".join(self.b_bytes), np.uint8)
+        self.a_start = np.cumsum(self.a_len) - self.a_len
+        self.b_start = np.cumsum(self.b_len) - self.b_len
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Per text, the A ids and the B ids, or None where the text has no tokens.
@@ -106,12 +112,21 @@ class Vocabularies:
             target = (" " + t).encode("utf-8")
             if int(self.a_len[a].sum()) != len(target) or int(self.b_len[b].sum()) != len(target):
                 continue
-            if b"".join(self.a_bytes[x] for x in a.tolist()) != target or b"".join(self.b_bytes[x] for x in b.tolist()) != target:
+            wanted = np.frombuffer(target, np.uint8)
+            if not (np.array_equal(_spelled(self.a_blob, self.a_start, self.a_len, a), wanted)
+                    and np.array_equal(_spelled(self.b_blob, self.b_start, self.b_len, b), wanted)):
                 continue
             out[i] = (a, b)
         return out
 
 
+def _spelled(blob: np.ndarray, start: np.ndarray, length: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The bytes of the tokens ``ids`` one after another, gathered from the joined vocabulary."""
+    lens = length[ids]
+    before = np.cumsum(lens) - lens
+    return blob[np.arange(int(lens.sum())) - np.repeat(before - start[ids], lens)]
+
+
 def cut(text: str, piece: int | None = None) -> list[str]:
     """``text`` in segments of about ``piece`` code points; from the second on, each stands for
     the blank before it, which is left out (both tokenizers put it back as a word start)."""
@@ -169,13 +184,25 @@ def lockstep(a_ends: list[np.ndarray], b_ends: list[np.ndarray]) -> tuple[np.nda
     return (*flat(links), *flat(cuts))
 
 
+_NAMES = np.array([str(i) for i in range(1 << 17)], dtype=object)
+
+
 def groups_text(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of every group, groups in order."""
-    parts, ia, ib = [], 0, 0
-    for ca, cb in zip(cut_a.tolist(), cut_b.tolist(), strict=True):
-        parts.append(",".join(map(str, a[ia : ca + 1].tolist())) + "|" + ",".join(map(str, b[ib : cb + 1].tolist())))
-        ia, ib = ca + 1, cb + 1
-    return ";".join(parts)
+    """``a1,a2|b1;a3|b2,b3``: the ids of every group, groups in order (built by sorting, not by loops)."""
+    if not len(a):
+        return ""
+    group = np.concatenate([np.searchsorted(cut_a, np.arange(len(a))), np.searchsorted(cut_b, np.arange(len(b)))])
+    side = np.concatenate([np.zeros(len(a), np.int8), np.ones(len(b), np.int8)])
+    place = np.concatenate([np.arange(len(a)), np.arange(len(b))])
+    ends_a, ends_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    ends_a[cut_a], ends_b[cut_b] = True, True
+    marks = np.concatenate([np.where(ends_a, "|", ","), np.where(ends_b, ";", ",")]).astype(object)
+    marks[-1] = ""  # after the last B token
+    order = np.lexsort((place, side, group))
+    names = _NAMES[np.concatenate([a, b])] if max(int(a.max()), int(b.max())) < len(_NAMES) else np.concatenate([a, b]).astype(str).astype(object)
+    text = np.empty(2 * len(order), dtype=object)
+    text[0::2], text[1::2] = names[order], marks[order]
+    return "".join(text.tolist())
 
 
 def _aligner(a_json, b_model):
@@ -190,12 +217,12 @@ def _aligner(a_json, b_model):
 
 
 def _slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Rows of about PIECE code points of text together; a longer text is a slice of its own."""
+    """Rows of about SLICE code points of text together; a longer text is a slice of its own."""
     sizes = np.array([len(t) if isinstance(t, str) else 0 for t in batch["text"]], np.int64)
     start, n = 0, len(batch)
     while start < n:
         end, held = start + 1, sizes[start]
-        while end < n and held + sizes[end] <= PIECE:
+        while end < n and held + sizes[end] <= SLICE:
             held += sizes[end]
             end += 1
         yield batch.iloc[start:end].reset_index(drop=True)
