@@ -55,7 +55,7 @@ def _numbered_words(opened: DataFrame, least: int) -> tuple[DataFrame, DataFrame
     """
     words = stored(opened.groupBy("lang", "w1").agg(F.count("*").alias("f")), "collocation-words")
     n = words.groupBy("lang").agg(F.sum("f").cast("long").alias("n"))
-    frequent = words.where(F.col("f") >= least).select("lang", F.col("w1").alias("word"))
+    frequent = words.where(F.col("f") >= least).select("lang", F.col("w1").alias("word"), "f")
     return n, numbered(frequent, [F.col("lang"), F.col("word")], "collocation-vocabulary", "id")
 
 
@@ -80,17 +80,30 @@ def windows(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[Da
     return counted, vocabulary, n
 
 
+def stored_windows(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """:func:`windows`, counted once and written: two aggregates read them."""
+    counted, vocabulary, n = windows(docs, order, least)
+    return stored(counted, "collocation-windows"), vocabulary, n
+
+
 def counts(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, ws, f) of all phrases of up to ``order`` words with f >= ``least``, and (lang, n)."""
     names = [f"w{k}" for k in range(1, order + 1)]
     levels = {k: (1 << (order - k)) - 1 for k in range(1, order + 1)}  # words kept -> grouping id
-    counted, vocabulary, n = windows(docs, order, least)
+    counted, vocabulary, n = stored_windows(docs, order, least)
+    # A window whose first two words are rarer than ``least`` together adds only to its first
+    # word's count, which the numbered words already hold; only the others are rolled up.
+    pairs = counted.where(F.col("w2").isNotNull()).groupBy("w1", "w2").agg(F.sum("c").alias("_f"))
+    frequent_pairs = stored(pairs.where(F.col("_f") >= least).select("w1", "w2"), "collocation-pairs")
+    side = F.broadcast(frequent_pairs) if frequent_pairs.count() <= BROADCAST_ROWS else frequent_pairs
+    words = vocabulary.select(F.col("id").alias("w1"), F.col("f").cast("long").alias("f"))
     rolled = stored(
-        counted.rollup(*names)
+        counted.join(side, ["w1", "w2"], "left_semi")
+        .rollup(*names)
         .agg(F.sum("c").alias("f"), F.grouping_id().alias("_g"))
-        .where(F.col("w1").isNotNull() & (F.col("f") >= least)),
+        .where(F.col("w2").isNotNull() & (F.col("f") >= least)),
         "collocation-rollup",
-    )
+    ).unionByName(words.select("w1", *[F.lit(None).cast("long").alias(c) for c in names[1:]], "f", F.lit(levels[1]).alias("_g")))
     parts = []
     for k in range(1, order + 1):
         kept = [F.col(c) for c in names[:k]]
@@ -108,7 +121,7 @@ def counts(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[Dat
     # Back from numbers to words: one row per frequent phrase and word.
     spelled = (
         frequent.select("k", "ids", "f", F.posexplode("ids").alias("at", "id"))
-        .join(vocabulary, "id")
+        .join(vocabulary.select("id", "lang", "word"), "id")
         .groupBy("k", "ids", "f")
         .agg(F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("at", "word"))).alias("spelt"))
         .select("lang", "k", F.col("spelt.word").alias("ws"), "f")
