@@ -9,8 +9,9 @@ Counting by top-order marginalisation: every word occurrence opens one lead wind
 ``ORDER`` words from it on, padded with NULL where its piece ends, and only these windows are
 counted.  An n-gram occurs once for each window that begins with it, so a ROLLUP over the window's
 words sums the counts of successively shorter prefixes and gives every f at once, instead of one
-explosion per n-gram length.  Windows hold word numbers (numbered words tell their language), and
-a window stops before a word of fewer than ``LEAST`` occurrences, which no counted phrase holds.
+explosion per n-gram length.  Windows hold word numbers (exact hashes that also tell the
+language), and a window stops before a word that follows its predecessor fewer than ``LEAST``
+times, as no phrase holding that pair can reach ``LEAST``.
 
 Candidates are phrases of 2 to ``ORDER`` words with ``a = f >= LEAST``.  A candidate's cut after
 its first k words scores ``floor(2000000 * a / (l + r))`` with l, r the counts of both parts; the
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from permeate.llm.tables import BROADCAST_ROWS, numbered, pick, stored
+from permeate.llm.tables import BROADCAST_ROWS, pick, stored
 
 ORDER = 4
 LEAST = 30
@@ -47,59 +48,95 @@ def _words(docs: DataFrame) -> DataFrame:
     return pieces.select("lang", F.filter(F.split("piece", _WORDS), lambda x: x != "").alias("ws")).where(F.size("ws") > 0)
 
 
-def _numbered_words(opened: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, n) and the words of at least ``least`` occurrences, numbered across languages.
+def _hashed(lang: Column, word: Column, salt: int) -> Column:
+    return F.xxhash64(F.lit(salt), lang, word)
 
-    A word of fewer occurrences is in no phrase of ``least`` occurrences, so lead windows stop
-    before it: this changes no count that can reach ``least``.
+
+def vocabulary_of(pieces: DataFrame, least: int) -> tuple[DataFrame, DataFrame, int]:
+    """(lang, n), the words of at least ``least`` occurrences with their number ``id`` and count
+    ``f``, and the salt of the numbers.
+
+    A word's number is a 64-bit hash of (salt, lang, word); the salt grows until no two distinct
+    words of the whole table share a number, so the numbers are exact names.
     """
-    words = stored(opened.groupBy("lang", "w1").agg(F.count("*").alias("f")), "collocation-words")
+    words = stored(
+        pieces.select("lang", F.explode("ws").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("f")),
+        "collocation-words",
+    )
+    salt = 0
+    while words.groupBy(_hashed(F.col("lang"), F.col("word"), salt)).count().where("count > 1").limit(1).count():
+        salt += 1
     n = words.groupBy("lang").agg(F.sum("f").cast("long").alias("n"))
-    frequent = words.where(F.col("f") >= least).select("lang", F.col("w1").alias("word"), "f")
-    return n, numbered(frequent, [F.col("lang"), F.col("word")], "collocation-vocabulary", "id")
+    frequent = words.where(F.col("f") >= least).select(
+        "lang", "word", _hashed(F.col("lang"), F.col("word"), salt).alias("id"), F.col("f").cast("long").alias("f")
+    )
+    return n, stored(frequent, "collocation-vocabulary"), salt
+
+
+def _numbers(pieces: DataFrame, salt: int) -> DataFrame:
+    """The word numbers of every piece of two words or more."""
+    return pieces.where(F.size("ws") >= 2).select(F.transform("ws", lambda w: _hashed(F.col("lang"), w, salt)).alias("hs"))
+
+
+def frequent_pairs(pieces: DataFrame, salt: int, least: int) -> DataFrame:
+    """(a, b): numbers of adjacent words that follow each other at least ``least`` times."""
+    hs = F.col("hs")
+    pairs = _numbers(pieces, salt).select(
+        F.explode(
+            F.transform(F.sequence(F.lit(1), F.size(hs) - 1), lambda i: F.struct(F.get(hs, i - 1).alias("a"), F.get(hs, i).alias("b")))
+        ).alias("p")
+    ).select("p.*")
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("f"))
+    return stored(counted.where(F.col("f") >= least).select("a", "b"), "collocation-pairs")
 
 
 def windows(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Lead windows w1 .. w_order (word numbers, which also tell the language) with their count
-    c, the numbered words (lang, word, id) and (lang, n)."""
-    ws = _words(docs)
-    opened = ws.select("lang", "ws", F.posexplode("ws").alias("i", "w1"))
-    n, vocabulary = _numbered_words(opened, least)
-    lead = opened.select("lang", *[F.get("ws", F.col("i") + k).alias(f"w{k + 1}") for k in range(order)])
-    rows = vocabulary.count()
-    for k in range(1, order + 1):
-        side = vocabulary.select("lang", F.col("word").alias(f"w{k}"), F.col("id").alias(f"_id{k}"))
+    c, the frequent words (lang, word, id, f) and (lang, n).
+
+    A window ends before the first word that follows its predecessor fewer than ``least`` times
+    (no longer phrase holding that pair can reach ``least``); a window whose first two words are
+    such a pair adds only to its first word's count, which the words already hold, and is left
+    out.  Windows are made inside each piece's array, so no row carries its piece along.
+    """
+    pieces = stored(_words(docs), "collocation-pieces")
+    n, vocabulary, salt = vocabulary_of(pieces, least)
+    pairs = frequent_pairs(pieces, salt, least)
+    hs = F.col("hs")
+    opened = (
+        _numbers(pieces, salt)
+        .select(
+            F.explode(
+                F.transform(
+                    F.sequence(F.lit(0), F.size(hs) - 2),
+                    lambda i: F.struct(*[F.get(hs, i + k).alias(f"w{k + 1}") for k in range(order)]),
+                )
+            ).alias("w")
+        )
+        .select("w.*")
+    )
+    rows = pairs.count()
+    for k in range(1, order):
+        side = pairs.select(F.col("a").alias(f"w{k}"), F.col("b").alias(f"w{k + 1}"), F.lit(True).alias(f"_ok{k}"))
         side = F.broadcast(side) if rows <= BROADCAST_ROWS else side
-        lead = lead.join(side, ["lang", f"w{k}"], "inner" if k == 1 else "left")
-    # A window ends before its first missing word: past the piece's end or a rare word.
-    ids, kept = [], F.lit(True)
-    for k in range(1, order + 1):
-        kept = kept & F.col(f"_id{k}").isNotNull()
-        ids.append(F.when(kept, F.col(f"_id{k}")).alias(f"w{k}"))
-    counted = lead.select(*ids).groupBy(*[f"w{k}" for k in range(1, order + 1)]).agg(F.count("*").alias("c"))
+        opened = opened.join(side, [f"w{k}", f"w{k + 1}"], "inner" if k == 1 else "left")
+    names = [f"w{k}" for k in range(1, order + 1)]
+    ids, kept = [F.col("w1"), F.col("w2")], F.lit(True)
+    for k in range(2, order):
+        kept = kept & F.col(f"_ok{k}").isNotNull()
+        ids.append(F.when(kept, F.col(f"w{k + 1}")))
+    counted = opened.select(*[x.alias(c) for x, c in zip(ids, names, strict=True)]).groupBy(*names).agg(F.count("*").alias("c"))
     return counted, vocabulary, n
 
 
-def stored_windows(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """:func:`windows`, counted once and written: two aggregates read them."""
-    counted, vocabulary, n = windows(docs, order, least)
-    return stored(counted, "collocation-windows"), vocabulary, n
-
-
 def counts(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, ws, f) of all phrases of up to ``order`` words with f >= ``least``, and (lang, n)."""
     names = [f"w{k}" for k in range(1, order + 1)]
     levels = {k: (1 << (order - k)) - 1 for k in range(1, order + 1)}  # words kept -> grouping id
-    counted, vocabulary, n = stored_windows(docs, order, least)
-    # A window whose first two words are rarer than ``least`` together adds only to its first
-    # word's count, which the numbered words already hold; only the others are rolled up.
-    pairs = counted.where(F.col("w2").isNotNull()).groupBy("w1", "w2").agg(F.sum("c").alias("_f"))
-    frequent_pairs = stored(pairs.where(F.col("_f") >= least).select("w1", "w2"), "collocation-pairs")
-    side = F.broadcast(frequent_pairs) if frequent_pairs.count() <= BROADCAST_ROWS else frequent_pairs
-    words = vocabulary.select(F.col("id").alias("w1"), F.col("f").cast("long").alias("f"))
+    counted, vocabulary, n = windows(docs, order, least)
+    words = vocabulary.select(F.col("id").alias("w1"), "f")
     rolled = stored(
-        counted.join(side, ["w1", "w2"], "left_semi")
-        .rollup(*names)
+        counted.rollup(*names)
         .agg(F.sum("c").alias("f"), F.grouping_id().alias("_g"))
         .where(F.col("w2").isNotNull() & (F.col("f") >= least)),
         "collocation-rollup",
