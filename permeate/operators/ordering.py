@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType
 
@@ -25,19 +25,31 @@ from permeate.storage import attach, stage
 UNIT = ("unit_id",)
 ORDER = ("us", "seq")
 BLOCK_ROWS = 32_768
+#: About so many wide rows are handed to one task of a step that sorts them several times.
+TASK_ROWS = 65_536
+
+
+def task_count(spark: SparkSession, rows: int, per_task: int = TASK_ROWS) -> int:
+    """Number of tasks for ``rows`` rows, so that the memory of one does not grow with the log.
+
+    A number that is asked for is kept by adaptive execution.  Where the rows are few, there are
+    as many tasks as the session's shuffles have, of 4,096 rows at least.
+    """
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-rows // per_task), min(usual, -(-rows // 4_096)))
 
 
 def ordered_pieces(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "ordered"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "ordered", tasks: int | None = None
 ) -> DataFrame:
     """Rows sorted on (keys, order) and cut into pieces of similar size, written once.
 
     ``_piece`` numbers the pieces in order, ``_place`` the rows; together with :func:`running`
-    this is enough for anything that is carried along the order.
+    this is enough for anything that is carried along the order.  ``tasks`` asks for so many pieces.
     """
     place = [*keys, *order]
     return stage(
-        df.repartitionByRange(*place)
+        (df.repartitionByRange(tasks, *place) if tasks else df.repartitionByRange(*place))
         .sortWithinPartitions(*place)
         .withColumn("_place", F.monotonically_increasing_id()),
         name,
@@ -148,6 +160,7 @@ def running(
     block_rows: int = BLOCK_ROWS,
     levels: int = 2,
     pieces: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Running ``sum``/``max``/``min``/``last`` (last = latest non-NULL) along each series.
 
@@ -156,7 +169,8 @@ def running(
     should be a stored table with cheap expressions on top.  The block totals are themselves
     scanned in blocks, so after ``levels`` steps a window sees one row per
     ``block_rows ** levels`` log rows.  ``pieces=True`` takes the cut of :func:`ordered_pieces`
-    instead of an index; then a window over the totals sees one row per piece.
+    instead of an index; then a window over the totals sees one row per piece.  ``tasks`` asks for
+    so many tasks, where rows are wide.
     """
     keys = list(keys)
     if pieces:
@@ -181,7 +195,7 @@ def running(
     # Rows are moved and sorted before the values are worked out, so only the columns of the
     # table travel; the window below finds its rows in place.
     local = (
-        blocked.repartition(*keys, "_block")
+        (blocked.repartition(tasks, *keys, "_block") if tasks else blocked.repartition(*keys, "_block"))
         .sortWithinPartitions(*keys, "_block", direction)
         .withColumns(sources)
         .withColumns(over(Window.partitionBy(*keys, "_block")))

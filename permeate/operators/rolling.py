@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from permeate.functions.missing import finite, ratio
 from permeate.functions.timing import HOUR, SECOND, width
-from permeate.operators.ordering import BLOCK_ROWS, UNIT, frames, ordered_pieces, own_rows, running
+from permeate.operators.ordering import TASK_ROWS, UNIT, frames, ordered_pieces, own_rows, running, task_count
 from permeate.storage import attach
 
 # Moments are held as mergeable triples (count, mean, sum of squared deviations): a frame is cut
@@ -95,39 +95,51 @@ def time_statistics(
     its row and the head of its own span up to the row.  The head is a growing frame in time
     order; the tail is a growing frame in reverse order, read off at a probe placed at ``t - w``.
     Rows are told apart by (keys, us, seq), the order the series already needs; NaN and infinite
-    readings are missing, every finite one counts.  One task holds one unit's rows of one span.
+    readings are missing, every finite one counts.  A span of many rows is cut into pieces; the
+    triples of its other pieces are joined to the frame in each (:func:`_carried`), so the memory
+    of a task does not grow with the rows of a unit or a span.
     """
-    keys = list(keys)
+    keys, spark = list(keys), df.sparkSession
     widths = [width(w) for w in windows]
     narrow = df.select(*keys, "us", "seq", *[finite(F.col(c)).alias(f"_v_{c}") for c in columns])
-    events = []
+    n_rows = narrow.count()
+    n_events = 2 * len(widths) * n_rows
+    # All events of a row meet in one task at the end; rows are dealt out that way before they are
+    # multiplied, too, so that no task makes the events of a whole input split.
+    met = [task_count(spark, n_rows), *keys, "us", "seq"]
+    kinds = []
     for i, wide in enumerate(widths):
         span = _span(F.col("us"), wide)
-        own = [F.col(f"_v_{c}") for c in columns]
-        none = [F.lit(None).cast("double").alias(f"_v_{c}") for c in columns]
-        events.append(narrow.select(*keys, "us", "seq", F.lit(i).alias("_w"), span.alias("_b"), F.col("us").alias("_at"), F.lit(0).alias("_kind"), *own))
-        events.append(narrow.select(*keys, "us", "seq", F.lit(i).alias("_w"), (span - 1).alias("_b"), (F.col("us") - wide).alias("_at"), F.lit(1).alias("_kind"), *none))
-    whole = events[0]
-    for more in events[1:]:
-        whole = whole.unionByName(more)
-    part = Window.partitionBy(*keys, "_w", "_b")
-    head = part.orderBy("_at", "_kind", "seq").rowsBetween(Window.unboundedPreceding, 0)
+        for kind, b, at in ((0, span, F.col("us")), (1, span - 1, F.col("us") - wide)):
+            kinds.append(F.struct(F.lit(i).alias("_w"), b.alias("_b"), at.alias("_at"), F.lit(kind).alias("_kind")))
+    group, order = [*keys, "_w", "_b"], ["_at", "_kind", "seq"]
+    values = [F.when(F.col("_e._kind") == 0, F.col(f"_v_{c}")).alias(f"_v_{c}") for c in columns]
+    events = narrow.repartition(*met).withColumn("_e", F.explode(F.array(*kinds))).select(*keys, "us", "seq", "_e.*", *values)
+    pieces = ordered_pieces(events, group, order, "spans", task_count(spark, n_events))
+    carried = attach(pieces.drop("_place"), _carried(pieces, columns, group), [*group, "_piece"], "left")
+    part = Window.partitionBy(*group, "_piece")
+    head = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     # A probe comes before rows of its own instant in reverse order: those lie outside the window.
-    tail = part.orderBy(F.desc("_at"), F.desc("_kind"), F.desc("seq")).rowsBetween(Window.unboundedPreceding, 0)
+    tail = part.orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     moments = {}
     for c in columns:
-        v = F.col(f"_v_{c}")
         for name, frame in (("h", head), ("t", tail)):
-            n, m, q = _moments(v, frame)
-            moments.update({f"_{name}n_{c}": n, f"_{name}m_{c}": m, f"_{name}q_{c}": q})
-    folded = whole.repartition(*keys, "_w", "_b").withColumns(moments)
+            moments.update({f"_{name}{x}_{c}": e for x, e in zip("nmq", _moments(F.col(f"_v_{c}"), frame))})
+    folded = carried.repartition(task_count(spark, n_events, 2 * TASK_ROWS), *group, "_piece").withColumns(moments)
+    is_row, mine = F.col("_kind") == 0, []
+    for c in columns:
+        whole = {
+            name: _carried_joined(*[[F.col(f"{p}{name}{x}_{c}") for x in "nmq"] for p in ("_carry_", "_")])
+            for name in "ht"
+        }
+        mine += [F.when(is_row, h).otherwise(t).alias(f"_{x}_{c}") for x, h, t in zip("nmq", whole["h"], whole["t"])]
     picks = []
     for i, _ in enumerate(widths):
         for c in columns:
             for name, kind in (("h", 0), ("t", 1)):
-                mine = (F.col("_w") == i) & (F.col("_kind") == kind)
-                picks += [F.max(F.when(mine, F.col(f"_{name}{x}_{c}"))).alias(f"_{name}{x}_{c}_{i}") for x in "nmq"]
-    per_row = folded.groupBy(*keys, "us", "seq").agg(*picks)
+                this = (F.col("_w") == i) & (F.col("_kind") == kind)
+                picks += [F.max(F.when(this, F.col(f"_{x}_{c}"))).alias(f"_{name}{x}_{c}_{i}") for x in "nmq"]
+    per_row = folded.select(*keys, "us", "seq", "_w", "_kind", *mine).repartition(*met).groupBy(*keys, "us", "seq").agg(*picks)
     out = {}
     for i, label in enumerate(windows):
         for c in columns:
@@ -137,7 +149,45 @@ def time_statistics(
             forms = _forms(n, mean, squares)
             out.update({f"{c}_{s}_{label}": forms[s] for s in statistics})
     stats = per_row.select(*keys, "us", "seq", *[v.alias(k) for k, v in out.items()])
-    return df.drop(*[k for k in out if k in df.columns]).join(stats, [*keys, "us", "seq"], "left")
+    kept = df.drop(*[k for k in out if k in df.columns]).repartition(*met)
+    # Both sides lie by the key already: merged where they are, neither is sent round by the driver.
+    return kept.join(stats.hint("merge"), [*keys, "us", "seq"], "left")
+
+
+def _carried_joined(a: Sequence[Column], b: Sequence[Column]) -> list[Column]:
+    """:func:`_joined` where an empty or missing part leaves the other exactly as it is."""
+    return [
+        F.when(F.coalesce(a[0], F.lit(0)) == 0, alone_b).when(b[0] == 0, alone_a).otherwise(both)
+        for alone_a, alone_b, both in zip(a, b, _joined(tuple(a), tuple(b)))
+    ]
+
+
+def _carried(pieces: DataFrame, columns: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """Triples of all earlier (``h``) and all later (``t``) pieces of a group, per piece of a group that is cut.
+
+    The windows see one row per piece of a group, and only the groups that lie in several pieces.
+    """
+    total = []
+    for c in columns:
+        v = F.col(f"_v_{c}")
+        mean = F.when(F.min(v) == F.max(v), F.min(v)).otherwise(F.avg(v))  # equal readings have exactly their mean
+        parts = zip("nmq", (F.count(v), F.coalesce(mean, F.lit(0.0)), F.coalesce(F.var_pop(v) * F.count(v), F.lit(0.0))))
+        total.append(F.struct(*[e.alias(x) for x, e in parts]).alias(f"_total_{c}"))
+    by = Window.partitionBy(*group)
+    totals = pieces.groupBy(*group, "_piece").agg(*total).withColumn("_pieces", F.count("*").over(by)).filter("_pieces > 1")
+
+    def merged(a: Column, b: Column) -> Column:
+        both = _carried_joined([a[x] for x in "nmq"], [b[x] for x in "nmq"])
+        return F.struct(*[e.alias(x) for x, e in zip("nmq", both)])
+
+    nothing = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("q"))
+    carries = {}
+    for name, place in (("h", F.asc("_piece")), ("t", F.desc("_piece"))):
+        before = by.orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+        for c in columns:
+            carries[f"_{name}_{c}"] = F.aggregate(F.collect_list(f"_total_{c}").over(before), nothing, merged)
+    fields = [F.col(f"_{name}_{c}")[x].alias(f"_carry_{name}{x}_{c}") for name in "ht" for c in columns for x in "nmq"]
+    return totals.withColumns(carries).select(*group, "_piece", *fields)
 
 
 def rolling_slopes(
@@ -216,10 +266,15 @@ def _moving_moments(
     return near, made, triples
 
 
+#: A block and the rows before it together stay below Spark's 4,096 rows of a window that are held
+#: as plain rows: beyond them every window sets up a sorter of its own.
+_WINDOW_ROWS = 4_096
+
+
 def _row_blocks(sizes: Sequence[int], blocks: dict) -> dict:
     """Blocks of a multiple of every window size, at least as many rows as asked for."""
     step = math.lcm(*sizes)
-    asked = blocks.get("block_rows", BLOCK_ROWS)
+    asked = blocks.get("block_rows", max(1, (_WINDOW_ROWS - max(sizes)) // step * step))
     return {**blocks, "block_rows": step * -(-asked // step)}
 
 
@@ -260,7 +315,7 @@ def moving_average(
 ) -> DataFrame:
     """Mean of the last ``rows`` rows, from the first row on; NaN, infinite and missing readings are skipped."""
     near, w = frames(ordered, rows - 1, keys=keys, **_row_blocks([rows], blocks))
-    near = near.repartition(*keys, "_block")
+    near = near.repartition(task_count(ordered.sparkSession, ordered.count()), *keys, "_block")
     near, made, triples = _moving_moments(near, w, keys, columns, [rows])
     return own_rows(
         near.withColumns({f"{c}{suffix}": _forms(*triples[(c, rows)])["mean"] for c in columns})
@@ -281,7 +336,7 @@ def row_statistics(
     grows with its logarithm (extremes).  NaN and infinite readings are missing.
     """
     near, w = frames(ordered, max(sizes) - 1, keys=keys, **_row_blocks(sizes, blocks))
-    near = near.repartition(*keys, "_block")
+    near = near.repartition(task_count(ordered.sparkSession, ordered.count()), *keys, "_block")
     made: list[str] = []
     triples = {}
     if {"mean", "std"} & set(statistics):

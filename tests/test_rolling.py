@@ -199,3 +199,51 @@ def test_two_units_together_equal_each_alone(spark, log):
     assert both.filter("unit_id = 'u'").exceptAll(alone).count() == 0
     w = Window.partitionBy("unit_id").orderBy("us")
     assert both.select(F.count("*").over(w)).count() == 1200
+
+
+def test_a_span_cut_into_pieces_equals_pandas(spark, monkeypatch):
+    """One hot day, many rows on one stamp: the memory of a task must not grow with a span's rows."""
+    rng = random.Random(5)
+    stamps = sorted([rng.randrange(0, 40 * HOUR) for _ in range(1500)] + [20 * HOUR] * 500)
+    rows = [("u", us, i, None if i % 9 == 0 else 1e6 + rng.uniform(0, 9)) for i, us in enumerate(stamps)]
+    rows += [("v", us, i, 4.25) for i, us in enumerate(stamps)]
+    log, made = make(spark, rows), []
+    monkeypatch.setattr(rolling, "task_count", lambda session, n, per_task=0: 30)
+    pieces_of = rolling.ordered_pieces
+    monkeypatch.setattr(rolling, "ordered_pieces", lambda *a: made.append(pieces_of(*a)) or made[-1])
+    got = rolling.time_statistics(log, ["v"], ("6h", "24h")).orderBy("unit_id", "us", "seq").toPandas()
+    assert made[0].groupBy("unit_id", "_w", "_b", "_piece").count().agg(F.max("count")).first()[0] < 1500
+    assert made[0].groupBy("unit_id", "_w", "_b").agg(F.count_distinct("_piece").alias("n")).agg(F.max("n")).first()[0] > 2
+    for w in ("6h", "24h"):
+        u, v = (got[got.unit_id == k] for k in "uv")
+        wide = int(w[:-1]) * HOUR
+        values = u["v"].to_numpy(dtype=float)
+        us = u["us"].to_numpy()
+        for i in range(0, len(u), 37):
+            part = values[: i + 1][us[: i + 1] > us[i] - wide]
+            part = part[~np.isnan(part)]
+            if len(part):
+                np.testing.assert_allclose(u[f"v_mean_{w}"].iloc[i], part.mean(), rtol=1e-12)
+            if len(part) > 1:
+                np.testing.assert_allclose(u[f"v_std_{w}"].iloc[i], part.std(ddof=1), rtol=1e-7)
+        assert (v[f"v_mean_{w}"] == 4.25).all() and (v[f"v_std_{w}"].dropna() == 0).all()
+
+
+@pytest.mark.parametrize("statistic", ["row_statistics", "moving_average"])
+def test_row_windows_get_tasks_by_their_rows(spark, monkeypatch, statistic):
+    """Blocks must not be put together into few tasks, however few the session's shuffles have."""
+    log = make(spark, [("u", i * MINUTE, i, float(i % 7)) for i in range(9000)])
+    monkeypatch.setattr(rolling, "task_count", lambda session, n, per_task=0: -(-n // 1000))
+    if statistic == "row_statistics":
+        out = rolling.row_statistics(log, "v", (12, 72))
+    else:
+        out = rolling.moving_average(log, ["v"], 50)
+    assert out.rdd.getNumPartitions() == 9 and out.count() == 9000
+
+
+def test_tasks_grow_with_the_rows(spark):
+    from permeate.operators.ordering import TASK_ROWS, task_count
+
+    assert task_count(spark, 0) == 1 and task_count(spark, 100) == 1
+    assert task_count(spark, 20_000) == 4  # the session's shuffles
+    assert task_count(spark, 36_000_000) == -(-36_000_000 // TASK_ROWS)
