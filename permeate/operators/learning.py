@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from permeate.functions.missing import ratio
 from permeate.functions.timing import DAY, calendar_features, to_stamp
 from permeate.operators.forecast import Z
-from permeate.operators.ordering import UNIT, running, series_length
+from permeate.operators.ordering import UNIT, running, series_length, task_count
 from permeate.operators.rolling import lag_features, row_statistics, seconds_since_start
 from permeate.storage import attach, stage
 
@@ -51,7 +51,8 @@ def features(
     timed = seconds_since_start(rolled, keys).withColumns(calendar_features(to_stamp(F.col("us"))))
     names = feature_names(target, ordered.columns, lags, sizes, covariates)
     complete = stage(timed.dropna("any", subset=[target, *names]), "features")
-    numbered = running(complete.withColumn("_one", F.lit(1).cast("long")), {"_no": ("sum", "_one")}, keys, **blocks)
+    one, tasks = complete.withColumn("_one", F.lit(1).cast("long")), task_count(complete.sparkSession, complete.count())
+    numbered = running(one, {"_no": ("sum", "_one")}, keys, tasks=tasks, **blocks)
     return numbered.withColumn("rn", F.col("_no") - 1).drop("_one", "_no")
 
 
@@ -134,11 +135,9 @@ def tree_forecast(
     keys = list(keys)
     large = series_length(ordered, keys, "_n").filter(F.col("_n") >= min_rows).select(*keys)
     names = feature_names(target, ordered.columns, lags, sizes, covariates)
-    rows = split(
-        features(attach(ordered, large, keys, "left_semi"), target, lags, sizes, covariates, keys, **blocks),
-        test_share,
-        keys,
-    )
+    found = features(attach(ordered, large, keys, "left_semi"), target, lags, sizes, covariates, keys, **blocks)
+    # Training reads the rows several times; written once, no pass sorts and numbers them again.
+    rows = stage(split(found, test_share, keys), "feature_rows")
     if rows.isEmpty():
         return _no_forecast(ordered, keys)
     model, vectors = train(rows, names, target, kind, **(parameters or {}))

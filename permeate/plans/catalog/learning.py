@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from permeate.operators import learning as ml
-from permeate.plans.adapter import ORDERED_SQL, once, ordered_log
+from permeate.plans.adapter import ORDERED_SQL, once, ordered_log, prepared
 from permeate.plans.registry import query, rounded
 
 TARGET = "tmp"
@@ -25,7 +25,8 @@ complete as (select * exclude (rn), row_number() over (partition by unit_id orde
 
 
 def feature_rows(spark, sf):
-    return once(spark, sf, "feature_rows", lambda: ml.split(ml.features(ordered_log(spark, sf), TARGET)))
+    """Written once: training reads the rows several times."""
+    return prepared(spark, sf, "feature_rows", lambda: ml.split(ml.features(ordered_log(spark, sf), TARGET)))
 
 
 @query(

@@ -92,3 +92,14 @@ def test_too_few_rows_give_no_forecast(log):
 def test_unknown_model():
     with pytest.raises(ValueError):
         ml.regressor("svm", "tmp")
+
+
+def test_training_reads_stored_rows(log, monkeypatch):
+    """The rows are read several times by training; no pass may number and sort them again."""
+    seen = []
+    train = ml.train
+    monkeypatch.setattr(ml, "train", lambda rows, *a, **k: seen.append(rows) or train(rows, *a, **k))
+    ordered = row_index(log)
+    assert ml.tree_forecast(ordered, "tmp", "random_forest", lags=(1, 12), sizes=(12,), parameters={"numTrees": 2, "maxDepth": 2}).count() > 0
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
