@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from permeate.functions.regression import fit_from_moments, moments
 from permeate.functions.timing import day_of
@@ -25,15 +26,22 @@ STATISTICS, MOMENTS, DAILY_LOW = "window_statistics", "daily_moments", "daily_lo
 CYCLE_RUNS, CYCLE_DAYS = "cycle_runs", "cycle_days"
 #: Files that could not be read, per batch, with their number of lines.
 SET_ASIDE = "files_without_header"
+#: Batches whose rows the result tables hold.
+REFRESHED = "refreshed"
 
 
-def stored_log(spark: SparkSession, store: str) -> DataFrame:
-    """All rows ingested so far, partitioned by ``unit_id`` and ``day``."""
+def _stored(spark: SparkSession, store: str) -> DataFrame:
     known: dict[str, StructField] = {}
     for row in spark.read.parquet(f"{store}/schema").orderBy("batch").collect():  # one row per batch
         for f in StructType.fromJson(json.loads(row.schema)):
             known.setdefault(f.name, f)
-    return spark.read.schema(StructType(list(known.values()))).parquet(f"{store}/raw").drop("batch")
+    fields = [*known.values(), StructField("batch", LongType())]
+    return spark.read.schema(StructType(fields)).parquet(f"{store}/raw")
+
+
+def stored_log(spark: SparkSession, store: str) -> DataFrame:
+    """All rows ingested so far, partitioned by ``unit_id`` and ``day``."""
+    return _stored(spark, store).drop("batch")
 
 
 def _remember(spark: SparkSession, store: str, batch_id: int, schema: StructType) -> None:
@@ -42,6 +50,46 @@ def _remember(spark: SparkSession, store: str, batch_id: int, schema: StructType
     one.write.mode("overwrite").parquet(f"{store}/schema/batch={batch_id}")
 
 
+def _batch_ids(spark: SparkSession, path: str) -> set[int]:
+    """Numbers of the batches noted below ``path``."""
+    try:
+        return {row.batch for row in spark.read.parquet(path).select("batch").distinct().collect()}
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+
+
+class _Refreshes:
+    """Which batches the result tables still lack.
+
+    A batch may touch every day, so bringing the results up to date costs as much as all rows so
+    far.  In a backlog that is done when as many batches wait as are in the results already (after
+    1, 2, 4, 8, ... batches) and at the end, so its cost in all stays in proportion to the rows.
+    What waits is known from the store, so a run that was ended leaves nothing out.
+    """
+
+    def __init__(self, spark: SparkSession, store: str, on_batch: Callable[[SparkSession, str, DataFrame], None]):
+        self.store, self.on_batch = store, on_batch
+        done = _batch_ids(spark, f"{store}/{REFRESHED}")
+        self.waiting, self.done = sorted(_batch_ids(spark, f"{store}/schema") - done), len(done)
+
+    def add(self, spark: SparkSession, batch_id: int, at_once: bool) -> None:
+        if batch_id not in self.waiting:
+            self.waiting.append(batch_id)
+        if at_once or len(self.waiting) >= self.done:
+            self.bring_up(spark)
+
+    def bring_up(self, spark: SparkSession) -> None:
+        if not self.waiting:
+            return
+        self.on_batch(spark, self.store, _stored(spark, self.store).filter(F.col("batch").isin(self.waiting)).drop("batch"))
+        for batch_id in self.waiting:
+            one = spark.createDataFrame([(batch_id,)], "id long").coalesce(1)
+            one.write.mode("overwrite").parquet(f"{self.store}/{REFRESHED}/batch={batch_id}")
+        self.done, self.waiting = self.done + len(self.waiting), []
+
+
 def _on_days(log: DataFrame, pairs: DataFrame) -> DataFrame:
     """Rows of the given (unit_id, day) pairs.
 
@@ -200,7 +248,9 @@ def ingest_new_files(
     ``watch=False`` stops when the inbox is empty; ``watch=True`` returns the running query.  No
     file is skipped while a batch is busy: it is part of the next one.  A repeated batch rewrites
     its own folder, so a restart adds no row twice.  Files without a header are listed and skipped.
+    ``on_batch`` gets the rows of one batch, or, in a backlog, of several (:class:`_Refreshes`).
     """
+    refreshes = _Refreshes(spark, store, on_batch)
     lines = (
         spark.readStream.format("text")
         .option("pathGlobFilter", pattern)
@@ -221,13 +271,13 @@ def ingest_new_files(
         except NoLogFile:
             return
         save_log(readable(log), path)
-        stored = session.read.parquet(path)
-        _remember(session, store, batch_id, stored.schema)
-        on_batch(session, store, stored)
+        _remember(session, store, batch_id, session.read.parquet(path).schema)
+        refreshes.add(session, batch_id, at_once=watch)
 
     writer = lines.writeStream.foreachBatch(take).option("checkpointLocation", f"{store}/_checkpoint")
     if watch:
         return writer.trigger(processingTime="1 minute").start()
     running = writer.trigger(availableNow=True).start()
     running.awaitTermination()
+    refreshes.bring_up(spark)
     return running

@@ -168,3 +168,33 @@ def test_cycles_kept_up_to_date_equal_the_batch_periods(spark, tmp_path):
     got = current_periods(spark, store).select(*want.columns)
     assert want.count() > 10 and got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_a_backlog_is_refreshed_in_few_steps(spark, tmp_path):
+    """Nine batches that all touch the same days; a run that is ended leaves its batches to the next."""
+    from permeate.streaming.ingest import refresh
+
+    header = ["TimeStamp", "TMP", "Permeability TC"]
+    for i in range(9):
+        write(tmp_path / "inbox" / "u1", f"{i}.tsv", header, logger_rows(0, 1, i))
+    store, taken, rows = str(tmp_path / "store"), [], []
+
+    def ended(session, store, batch):
+        if len(taken) == 2:
+            raise RuntimeError("ended")
+        taken.append(batch.count())
+
+    with pytest.raises(Exception, match="ended"):
+        ingest_new_files(spark, str(tmp_path / "inbox"), store, max_files=1, on_batch=ended)
+
+    def noted(session, store, batch):
+        rows.append(batch.count())
+        refresh(session, store, batch)
+
+    ingest_new_files(spark, str(tmp_path / "inbox"), store, max_files=1, on_batch=noted)
+    assert taken == [24, 24] and sum(rows) == 7 * 24 and len(rows) <= 4
+    log = stored_log(spark, store).select("unit_id", "us", "seq", "tmp")
+    want = time_statistics(log, ["tmp"], ("24h",))
+    got = spark.read.parquet(f"{store}/{STATISTICS}").select(*want.columns)
+    assert got.count() == want.count() == 9 * 24
+    assert got.exceptAll(want).count() == 0
