@@ -83,6 +83,7 @@ def _cut(fragments: int, buckets: int):
                 rows = [r for r in _segments(data, offsets[i : j + 1], numbers[i:j], known[i:j], fragments, buckets)]
                 if rows:
                     yield _batch(rows)
+            pa.default_memory_pool().release_unused()
 
     return cut
 
@@ -107,7 +108,8 @@ def _segments(data, offsets, numbers, known, fragments, buckets) -> Iterator[tup
         of = first[bucket == k]
         yield _row(fragments + int(k), sets=names[of], sizes=sizes[of])
     grams = np.concatenate([sets[i] for i in first])
-    owner = np.repeat(np.arange(len(first)), sizes[first])
+    sets.clear()
+    owner = np.repeat(np.arange(len(first), dtype=np.int32), sizes[first])
     fragment = ((grams >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.uint16 if fragments < 65536 else np.int64)
     order = np.argsort(fragment, kind="stable")
     grams, owner, fragment = grams[order], owner[order], fragment[order]

@@ -326,3 +326,13 @@ def test_shards_of_few_rows(spark):
     assert sharding.documents_sharded(empty(spark)).count() == 0
     got = sharding.documents_sharded(documents(spark, [(1, "a", "en", "s"), (2, "a", "en", "s"), (3, None, "en", "s")])).collect()
     assert sorted(r.size for r in got) == [1, 2, 2] and all(r.slot == 0 for r in got)
+
+
+def test_language_hands_rows_on_in_small_parts(monkeypatch):
+    pa = pytest.importorskip("pyarrow")
+    monkeypatch.setattr(langid, "PARSE_BYTES", 100)
+    texts = ["a" * 40, None, "b" * 40, "", "c" * 300, "d" * 40, "e" * 40]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(langid._parts(batch, 1))
+    assert [r for p in parts for r in p.column(1).to_pylist()] == texts
+    assert len(parts) > 2 and all(len(p) == 1 or sum(len(t or "") for t in p.column(1).to_pylist()) <= 100 for p in parts)
