@@ -11,9 +11,9 @@ a document has no tokens and all its figures are 0 (``groups_sha256`` is then ''
 Byte offsets where an A token and a B token both end cut both sequences into groups; a link is a
 pair of an A and a B token occurrence whose byte ranges overlap.  Links and cuts come from
 lockstep vectorised merging: one NumPy state vector holds the A and B pointers of every document
-of a batch; each step emits the link of every document still running, records a cut where both
-tokens end together, advances the pointer(s) whose token ends first, and compacts away the
-documents that have finished.  An (A id, B id) pair's count is the number of documents (rows)
+of a batch (long documents are several lanes, begun where tokens of both sides end); each step
+emits the link of every lane still running, records a cut where both tokens end together,
+advances the pointer(s) whose token ends first, and compacts away the lanes that have finished.  An (A id, B id) pair's count is the number of documents (rows)
 in the whole table that hold it linked; ``n_best`` counts the links whose pair count is the
 highest of their A id's pairs (ties included), ``count_sum`` sums the pair counts over links.
 """
@@ -36,13 +36,19 @@ from permeate.llm.tables import BROADCAST_ROWS, pick, stored
 #: Where the vocabulary files are; a parameter, the files are read once on the driver and shipped.
 TOKENIZERS = "/opt/tokenizers"
 A_FILE = "byte_bpe_50k.json"
-#: Code points of text encoded at once; longer texts are cut into segments of about so many.
-PIECE = 1 << 18
+#: Least code points of a segment; texts are cut at the next word start. 1: a segment is one word.
+PIECE = 1
+#: Different segments encoded in one call.
+CALL = 512
+#: Segments seen twice in a slice whose tokens a worker keeps for its next slices; when more, it starts anew.
+KEPT = 1 << 17
+#: Tokens of A that a lane of the lockstep holds, to the next place where tokens of both sides end.
+LANE = 1024
 #: Code points of text merged in one lockstep; the steps of a slice are those of its longest text.
 SLICE = 1 << 22
 B_FILE = "piece_bpe_32k.model"
 
-_WORD_START = re.compile(r"(?<=[^ \t\n\x0b\x0c\r]) (?=[^ \t\n\x0b\x0c\r])")
+_WORD_START = re.compile(r"(?<=\S) (?=\S)")
 
 _SHAPE = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -93,6 +99,11 @@ class Vocabularies:
         self.b_blob = np.frombuffer(b"".join(self.b_bytes), np.uint8)
         self.a_start = np.cumsum(self.a_len) - self.a_len
         self.b_start = np.cumsum(self.b_len) - self.b_len
+        self._forget()
+
+    def _forget(self) -> None:
+        self.kept: dict[str, int] = {}
+        self.laid = tuple((np.zeros(0, np.int64),) * 3 for _ in "ab")
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Per text, the A ids and the B ids, or None where the text has no tokens.
@@ -100,16 +111,20 @@ class Vocabularies:
         A text is encoded in segments cut before a blank that follows a non-blank and precedes a
         non-blank: both tokenizers start a token there (A's pre-tokens begin with such a blank,
         B splits at it), so the tokens are those of the whole text; the joined bytes are checked.
+        A segment that comes again in these texts is encoded once.
         """
         out: list = [None] * len(texts)
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            parts = cut(t)
-            a = [np.asarray(e.ids, np.int64) for e in self.a.encode_batch([" " + x for x in parts], add_special_tokens=False)]
-            b = [np.asarray(x, np.int64) for x in self.b.encode(parts, num_threads=1)]
-            a, b = np.concatenate(a), np.concatenate(b)
-            target = (" " + t).encode("utf-8")
+        parts = {i: cut(t) for i, t in enumerate(texts) if t}
+        if not parts:
+            return out
+        number, different = pd.factorize(np.array([x for p in parts.values() for x in p], dtype=object))
+        place, (a_ids, a_from, a_many), (b_ids, b_from, b_many) = self._looked_up(different, np.bincount(number) > 1)
+        number, end = place[number], 0
+        for i, p in parts.items():
+            begin, end = end, end + len(p)
+            own = number[begin:end]
+            a, b = _spelled(a_ids, a_from, a_many, own), _spelled(b_ids, b_from, b_many, own)
+            target = (" " + texts[i]).encode("utf-8")
             if int(self.a_len[a].sum()) != len(target) or int(self.b_len[b].sum()) != len(target):
                 continue
             wanted = np.frombuffer(target, np.uint8)
@@ -119,9 +134,73 @@ class Vocabularies:
             out[i] = (a, b)
         return out
 
+    def _looked_up(self, segments: np.ndarray, again: np.ndarray) -> tuple:
+        """The place of each segment, and for A and for B: the ids of all places one after another,
+        where each begins, how many it has. Segments that come ``again`` are kept, up to ``KEPT``."""
+        place = np.array([self.kept.get(x, -1) for x in segments.tolist()], np.int64)
+        new = np.flatnonzero(place < 0)
+        new = np.concatenate([new[again[new]], new[~again[new]]])  # those to keep come first
+        first = len(self.laid[0][1])
+        place[new] = np.arange(first, first + len(new))
+        names = segments[new].tolist()
+        joined = tuple(_appended(old, more) for old, more in zip(self.laid, self._segments(names), strict=True))
+        keep = int(again[new].sum())
+        if first + keep > KEPT:
+            self._forget()
+        else:
+            self.kept.update(zip(names[:keep], range(first, first + keep), strict=True))
+            self.laid = tuple(_first_of(side, first + keep) for side in joined)
+        return (place, *joined)
+
+    def _segments(self, segments: list[str]) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+        """For A and for B: the ids of ``segments`` one after another, where each begins, how many it has.
+
+        Segments without blanks at their ends are encoded ``CALL`` at a time, joined by the blanks
+        that segments stand for, and told apart by their byte lengths.
+        """
+        size = np.fromiter(map(len, map(str.encode, segments)), np.int64, len(segments)) + 1
+        firm = np.fromiter(map(str.__eq__, segments, map(str.strip, segments)), bool, len(segments))
+        held = np.flatnonzero(firm)
+        runs = [held[at : at + CALL] for at in range(0, len(held), CALL)] + list(np.flatnonzero(~firm)[:, None])
+
+        def laid(encode, length: np.ndarray) -> tuple[np.ndarray, ...]:
+            begin, many, found, before = np.zeros_like(size), np.zeros_like(size), [np.zeros(0, np.int64)], 0
+            for run in runs:
+                some = [segments[i] for i in run.tolist()]
+                ids = encode(" ".join(some))
+                ends, wanted = np.cumsum(length[ids]), np.cumsum(size[run])
+                last = np.searchsorted(ends, wanted)
+                if len(ends) and ends[-1] == wanted[-1] and np.array_equal(ends[last], wanted):
+                    many[run] = np.diff(last, prepend=-1)
+                else:  # bytes that the tokens do not give back; such texts have no tokens
+                    each = [encode(x) for x in some]
+                    many[run] = [len(x) for x in each]
+                    ids = np.concatenate(each)
+                begin[run] = before + np.cumsum(many[run]) - many[run]
+                before += len(ids)
+                found.append(ids)
+            return np.concatenate(found), begin, many
+
+        return (
+            laid(lambda x: np.array(self.a.encode(" " + x, add_special_tokens=False).ids, np.int64), self.a_len),
+            laid(lambda x: np.array(self.b.encode(x), np.int64), self.b_len),
+        )
+
+
+def _appended(old: tuple[np.ndarray, ...], more: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """Both tables of segments (ids, begin, how many) as one."""
+    begin = np.concatenate([old[1], more[1] + len(old[0])])
+    return np.concatenate([old[0], more[0]]), begin, np.concatenate([old[2], more[2]])
+
+
+def _first_of(side: tuple[np.ndarray, ...], n: int) -> tuple[np.ndarray, ...]:
+    """A table of the first ``n`` segments alone."""
+    ids, begin, many = side[0], side[1][:n], side[2][:n]
+    return _spelled(ids, begin, many, np.arange(n)), np.cumsum(many) - many, many.copy()
+
 
 def _spelled(blob: np.ndarray, start: np.ndarray, length: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The bytes of the tokens ``ids`` one after another, gathered from the joined vocabulary."""
+    """What ``blob`` holds for ``ids`` one after another: bytes of tokens, or tokens of segments."""
     lens = length[ids]
     before = np.cumsum(lens) - lens
     return blob[np.arange(int(lens.sum())) - np.repeat(before - start[ids], lens)]
@@ -131,6 +210,10 @@ def cut(text: str, piece: int | None = None) -> list[str]:
     """``text`` in segments of about ``piece`` code points; from the second on, each stands for
     the blank before it, which is left out (both tokenizers put it back as a word start)."""
     piece = piece or PIECE
+    if piece == 1:
+        found = text.split(" ")
+        plain = all(found) and all(map(str.__eq__, found, map(str.strip, found)))
+        return found if plain else _WORD_START.split(text)
     out, start = [], 0
     while len(text) - start > piece:
         found = _WORD_START.search(text, start + piece)
@@ -147,6 +230,21 @@ def _vocabularies(a_json: str, b_model: bytes) -> Vocabularies:
     return Vocabularies(a_json, b_model)
 
 
+def _lanes(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Places (of an A and a B token) where lanes of a document begin: after ends that both sides
+    share, so no link crosses them."""
+    out, at = [(0, 0)] if len(a) else [], LANE
+    while at < len(a):
+        near = a[at - 1 : at - 1 + LANE]
+        place = np.searchsorted(b, near)
+        shared = np.flatnonzero(b[np.minimum(place, len(b) - 1)] == near)
+        if shared.size and at + shared[0] < len(a):
+            at += int(shared[0])
+            out.append((at, int(place[shared[0]]) + 1))
+        at += LANE
+    return out
+
+
 def lockstep(a_ends: list[np.ndarray], b_ends: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     """Links and cuts of many documents at once.
 
@@ -159,8 +257,10 @@ def lockstep(a_ends: list[np.ndarray], b_ends: list[np.ndarray]) -> tuple[np.nda
     oa, ob = np.concatenate([[0], np.cumsum(na)]), np.concatenate([[0], np.cumsum(nb)])
     fa = np.concatenate(a_ends) if a_ends else np.zeros(0, np.int64)
     fb = np.concatenate(b_ends) if b_ends else np.zeros(0, np.int64)
-    act = np.nonzero(na > 0)[0]
-    pa, pb, stop = oa[act], ob[act], oa[1:]
+    begun = [(k, oa[k] + i, ob[k] + j) for k, (a, b) in enumerate(zip(a_ends, b_ends, strict=True)) for i, j in _lanes(a, b)]
+    lane_doc, pa, pb = (np.array(x, np.int64) for x in zip(*begun, strict=True)) if begun else (np.zeros(0, np.int64),) * 3
+    stop = np.append(pa[1:], len(fa))  # lanes lie one after another
+    act = np.arange(len(pa))
     links, cuts = [], []
     while act.size:
         ea, eb = fa[pa], fb[pb]
@@ -177,32 +277,34 @@ def lockstep(a_ends: list[np.ndarray], b_ends: list[np.ndarray]) -> tuple[np.nda
         if not parts:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         d, x, y = (np.concatenate(p) for p in zip(*parts, strict=True))
-        order = np.argsort(d, kind="stable")  # by document, in step order within one
-        d, x, y = d[order], x[order], y[order]
+        order = np.argsort(d, kind="stable")  # by lane, in step order within one
+        d, x, y = lane_doc[d[order]], x[order], y[order]
         return d, x - oa[d], y - ob[d]
 
     return (*flat(links), *flat(cuts))
 
 
-_NAMES = np.array([str(i) for i in range(1 << 17)], dtype=object)
+_KNOWN = 1 << 17
+#: Ids below _KNOWN in decimal, followed by ",", by "|" and by ";".
+_NAMES = np.array([f"{i}{mark}" for mark in ",|;" for i in range(_KNOWN)], dtype=object)
 
 
 def groups_text(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of every group, groups in order (built by sorting, not by loops)."""
+    """``a1,a2|b1;a3|b2,b3``: the ids of every group, groups in order (laid out by place, not by loops)."""
     if not len(a):
         return ""
-    group = np.concatenate([np.searchsorted(cut_a, np.arange(len(a))), np.searchsorted(cut_b, np.arange(len(b)))])
-    side = np.concatenate([np.zeros(len(a), np.int8), np.ones(len(b), np.int8)])
-    place = np.concatenate([np.arange(len(a)), np.arange(len(b))])
-    ends_a, ends_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
-    ends_a[cut_a], ends_b[cut_b] = True, True
-    marks = np.concatenate([np.where(ends_a, "|", ","), np.where(ends_b, ";", ",")]).astype(object)
-    marks[-1] = ""  # after the last B token
-    order = np.lexsort((place, side, group))
-    names = _NAMES[np.concatenate([a, b])] if max(int(a.max()), int(b.max())) < len(_NAMES) else np.concatenate([a, b]).astype(str).astype(object)
-    text = np.empty(2 * len(order), dtype=object)
-    text[0::2], text[1::2] = names[order], marks[order]
-    return "".join(text.tolist())
+    many_a, many_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
+    # Before an A token lie the B tokens of earlier groups, before a B token the A tokens up to its group.
+    place_a = np.arange(len(a)) + np.repeat(np.cumsum(many_b) - many_b, many_a)
+    place_b = np.arange(len(b)) + np.repeat(np.cumsum(many_a), many_b)
+    mark_a, mark_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    mark_a[cut_a], mark_b[cut_b] = 1, 2
+    ids, marks = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), np.int64)
+    ids[place_a], ids[place_b] = a, b
+    marks[place_a], marks[place_b] = mark_a, mark_b
+    if int(ids.max()) < _KNOWN:
+        return "".join(_NAMES[marks * _KNOWN + ids].tolist())[:-1]
+    return "".join(f"{i}{',|;'[m]}" for i, m in zip(ids.tolist(), marks.tolist(), strict=True))[:-1]
 
 
 def _aligner(a_json, b_model):

@@ -115,3 +115,51 @@ def test_long_texts_in_segments_equal_whole_encoding(monkeypatch):
         assert g is not None
         assert g[0].tolist() == a_tok.encode(" " + t, add_special_tokens=False).ids
         assert g[1].tolist() == b_tok.encode(t)
+
+
+def test_segments_encoded_once_equal_whole_encoding(monkeypatch):
+    """Few segments a call, a small store that starts anew, short lanes: the tokens stay those of the whole text."""
+    with open(A, encoding="utf-8") as f, open(B, "rb") as g:
+        vocab = alignment.Vocabularies(f.read(), g.read())
+    monkeypatch.setattr(alignment, "CALL", 3)
+    monkeypatch.setattr(alignment, "KEPT", 40)
+    a_tok = Tokenizer.from_file(A)
+    a_tok.encode_special_tokens = True
+    b_tok = sentencepiece.SentencePieceProcessor(model_file=B)
+    texts = [*TEXTS, "a▁ b c", "nbsp  x  y z", "x" * 50 + " \n y  z"]
+    for turn in range(3):
+        got = vocab.encode(texts + [prose(20 + turn, 60)] * 2)
+        assert len(vocab.kept) <= 40
+        for t, g in zip(texts, got, strict=False):
+            if "▁" in t:
+                assert g is None
+                continue
+            assert g[0].tolist() == a_tok.encode(" " + t, add_special_tokens=False).ids
+            assert g[1].tolist() == b_tok.encode(t)
+
+
+def test_a_repeated_word_is_encoded_once():
+    with open(A, encoding="utf-8") as f, open(B, "rb") as g:
+        vocab = alignment.Vocabularies(f.read(), g.read())
+    asked, real = [], vocab.b
+
+    class Spy:
+        def encode(self, x, **more):
+            asked.append(x)
+            return real.encode(x, **more)
+
+    vocab.b = Spy()
+    found = vocab.encode(["stone river " * 500 + "end"])[0]
+    assert found[1].tolist() == real.encode("stone river " * 500 + "end")
+    vocab.encode(["river stone"])
+    assert sum(len(" ".join(x) if isinstance(x, list) else x) for x in asked) < 100
+
+
+def test_lanes_do_not_change_links(monkeypatch):
+    rng = np.random.default_rng(5)
+    sides = [[np.append(np.flatnonzero(rng.random(900) < 0.4), 900) for _ in range(6)] for _ in "ab"]
+    whole = alignment.lockstep(*sides)
+    monkeypatch.setattr(alignment, "LANE", 7)
+    assert len(alignment._lanes(sides[0][0], sides[1][0])) > 10
+    for x, y in zip(whole, alignment.lockstep(*sides), strict=True):
+        assert x.tolist() == y.tolist()
