@@ -45,7 +45,8 @@ def _words(docs: DataFrame) -> DataFrame:
         F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _UPPER, _LOWER).alias("t"),
     )
     pieces = plain.select("lang", F.explode(F.split("t", _PIECES)).alias("piece"))
-    return pieces.select("lang", F.filter(F.split("piece", _WORDS), lambda x: x != "").alias("ws")).where(F.size("ws") > 0)
+    bare = pieces.select("lang", F.trim("piece", F.lit(" \t")).alias("piece")).where("piece <> ''")
+    return bare.select("lang", F.split("piece", _WORDS).alias("ws"))
 
 
 def _hashed(lang: Column, word: Column, salt: int) -> Column:
@@ -78,14 +79,23 @@ def _numbers(pieces: DataFrame, salt: int) -> DataFrame:
     return pieces.where(F.size("ws") >= 2).select(F.transform("ws", lambda w: _hashed(F.col("lang"), w, salt)).alias("hs"))
 
 
-def frequent_pairs(pieces: DataFrame, salt: int, least: int) -> DataFrame:
-    """(a, b): numbers of adjacent words that follow each other at least ``least`` times."""
-    hs = F.col("hs")
-    pairs = _numbers(pieces, salt).select(
-        F.explode(
-            F.transform(F.sequence(F.lit(1), F.size(hs) - 1), lambda i: F.struct(F.get(hs, i - 1).alias("a"), F.get(hs, i).alias("b")))
-        ).alias("p")
-    ).select("p.*")
+def _runs(pieces: DataFrame, salt: int, names: list[str]) -> DataFrame:
+    """A row per word of each piece that another follows: its number and those of the words after
+    it, one per name, NULL where the piece ends."""
+    ahead = [F.col("hs")] + [F.slice("hs", F.lit(k + 1), F.size("hs")) for k in range(1, len(names))]
+    return _numbers(pieces, salt).select(F.inline(F.arrays_zip(*ahead)).alias(*names)).where(F.col(names[1]).isNotNull())
+
+
+def frequent_pairs(pieces: DataFrame, vocabulary: DataFrame, salt: int, least: int) -> DataFrame:
+    """(a, b): numbers of adjacent words that follow each other at least ``least`` times.
+
+    A pair is no more frequent than its words, so pairs with a word outside ``vocabulary`` are left
+    out before they are shuffled, where the vocabulary is small enough to be at hand.
+    """
+    pairs = _runs(pieces, salt, ["a", "b"])
+    if vocabulary.count() <= BROADCAST_ROWS:
+        for side in ("a", "b"):
+            pairs = pairs.join(F.broadcast(vocabulary.select(F.col("id").alias(side))), side, "left_semi")
     counted = pairs.groupBy("a", "b").agg(F.count("*").alias("f"))
     return stored(counted.where(F.col("f") >= least).select("a", "b"), "collocation-pairs")
 
@@ -101,20 +111,8 @@ def windows(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[Da
     """
     pieces = stored(_words(docs), "collocation-pieces")
     n, vocabulary, salt = vocabulary_of(pieces, least)
-    pairs = frequent_pairs(pieces, salt, least)
-    hs = F.col("hs")
-    opened = (
-        _numbers(pieces, salt)
-        .select(
-            F.explode(
-                F.transform(
-                    F.sequence(F.lit(0), F.size(hs) - 2),
-                    lambda i: F.struct(*[F.get(hs, i + k).alias(f"w{k + 1}") for k in range(order)]),
-                )
-            ).alias("w")
-        )
-        .select("w.*")
-    )
+    pairs = frequent_pairs(pieces, vocabulary, salt, least)
+    opened = _runs(pieces, salt, [f"w{k}" for k in range(1, order + 1)])
     rows = pairs.count()
     for k in range(1, order):
         side = pairs.select(F.col("a").alias(f"w{k}"), F.col("b").alias(f"w{k + 1}"), F.lit(True).alias(f"_ok{k}"))

@@ -77,3 +77,13 @@ def test_equals_sql(spark, tmp_path):
 def test_awkward_and_empty_tables(spark):
     assert collocations.collocations(empty(spark)).count() == 0
     assert collocations.collocations(documents(spark), least=2).count() >= 0
+
+
+def test_pairs_with_rare_words_are_left_out_before_the_shuffle(spark):
+    rows = [(0, "big data " * 4 + "rare1 big rare2 data", "en", "s"), (1, "\t big data\t", "en", "s")]
+    pieces = collocations._words(documents(spark, rows))
+    assert sorted(r.ws[0] for r in pieces.collect()) == ["big", "big"]
+    _, vocabulary, salt = collocations.vocabulary_of(pieces, 3)
+    assert {r.word for r in vocabulary.collect()} == {"big", "data"}
+    got = collocations.frequent_pairs(pieces, vocabulary, salt, 1)
+    assert got.count() == 2  # big data, data big; none with a rare word
