@@ -6,12 +6,13 @@ pieces, and pieces into words at blanks and tabs.  Everything is counted per lan
 occurrences inside pieces, overlaps included.
 
 Counting by top-order marginalisation: every word occurrence opens one lead window of the
-``ORDER`` words from it on, padded with NULL where its piece ends, and only these windows are
-counted.  An n-gram occurs once for each window that begins with it, so a ROLLUP over the window's
-words sums the counts of successively shorter prefixes and gives every f at once, instead of one
-explosion per n-gram length.  Windows hold word numbers (exact hashes that also tell the
-language), and a window stops before a word that follows its predecessor fewer than ``LEAST``
-times, as no phrase holding that pair can reach ``LEAST``.
+``ORDER`` words from it on, cut where its piece ends, and only these windows are counted, instead of
+one explosion per n-gram length.  An n-gram occurs once for each window that begins with it, so the
+counts of windows sum up to those of their prefixes.  A phrase is no more frequent than the word
+pairs in it: pairs are counted first (their counts are those of the phrases of two words), a
+window stops before a word that follows its predecessor fewer than ``LEAST`` times, and only
+windows of three words or more are shuffled.  Words are known by a 64-bit hash that also tells the
+language; frequent ones also by a dense number, and two numbers travel as one.
 
 Candidates are phrases of 2 to ``ORDER`` words with ``a = f >= LEAST``.  A candidate's cut after
 its first k words scores ``floor(2000000 * a / (l + r))`` with l, r the counts of both parts; the
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from permeate.llm.tables import BROADCAST_ROWS, pick, stored
+from permeate.llm.tables import BROADCAST_ROWS, numbered, pick, stored
 
 ORDER = 4
 LEAST = 30
@@ -54,11 +55,11 @@ def _hashed(lang: Column, word: Column, salt: int) -> Column:
 
 
 def vocabulary_of(pieces: DataFrame, least: int) -> tuple[DataFrame, DataFrame, int]:
-    """(lang, n), the words of at least ``least`` occurrences with their number ``id`` and count
-    ``f``, and the salt of the numbers.
+    """(lang, n), the words of at least ``least`` occurrences with their name ``id``, number ``no``
+    and count ``f``, and the salt of the names.
 
-    A word's number is a 64-bit hash of (salt, lang, word); the salt grows until no two distinct
-    words of the whole table share a number, so the numbers are exact names.
+    A word's name is a 64-bit hash of (salt, lang, word); the salt grows until no two distinct
+    words of the whole table share a name, so names are exact.  Numbers are gapless from 0.
     """
     words = stored(
         pieces.select("lang", F.explode("ws").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("f")),
@@ -71,92 +72,123 @@ def vocabulary_of(pieces: DataFrame, least: int) -> tuple[DataFrame, DataFrame,
     frequent = words.where(F.col("f") >= least).select(
         "lang", "word", _hashed(F.col("lang"), F.col("word"), salt).alias("id"), F.col("f").cast("long").alias("f")
     )
-    return n, stored(frequent, "collocation-vocabulary"), salt
+    placed = numbered(frequent, [F.col("id")], "collocation-frequent", "no")
+    return n, stored(placed, "collocation-vocabulary"), salt
 
 
 def _numbers(pieces: DataFrame, salt: int) -> DataFrame:
-    """The word numbers of every piece of two words or more."""
+    """The word names of every piece of two words or more."""
     return pieces.where(F.size("ws") >= 2).select(F.transform("ws", lambda w: _hashed(F.col("lang"), w, salt)).alias("hs"))
 
 
 def _runs(pieces: DataFrame, salt: int, names: list[str]) -> DataFrame:
-    """A row per word of each piece that another follows: its number and those of the words after
+    """A row per word of each piece that another follows: its name and those of the words after
     it, one per name, NULL where the piece ends."""
     ahead = [F.col("hs")] + [F.slice("hs", F.lit(k + 1), F.size("hs")) for k in range(1, len(names))]
     return _numbers(pieces, salt).select(F.inline(F.arrays_zip(*ahead)).alias(*names)).where(F.col(names[1]).isNotNull())
 
 
+def _packed(numbers: list[Column], size: int) -> list[Column]:
+    """Word numbers below ``size``, NULL where a window ends, two to a long."""
+    one_up = [F.coalesce(x + 1, F.lit(0)) for x in numbers]
+    two = [x * F.lit(size + 1) + y for x, y in zip(one_up[::2], one_up[1::2], strict=False)]
+    return two + one_up[len(two) * 2 :]
+
+
+def _unpacked(packed: list[Column], count: int, size: int) -> list[Column]:
+    out = []
+    for x in packed:
+        pair = [F.call_function("div", x, F.lit(size + 1)), x % F.lit(size + 1)] if count - len(out) > 1 else [x]
+        out += [F.when(y > 0, y - 1) for y in pair]
+    return out
+
+
 def frequent_pairs(pieces: DataFrame, vocabulary: DataFrame, salt: int, least: int) -> DataFrame:
-    """(a, b): numbers of adjacent words that follow each other at least ``least`` times.
+    """(a, b, a_no, b_no, f): names, numbers and count of adjacent words that follow each other at
+    least ``least`` times.
 
     A pair is no more frequent than its words, so pairs with a word outside ``vocabulary`` are left
-    out before they are shuffled, where the vocabulary is small enough to be at hand.
+    out and the others shuffled as one number each, where the vocabulary is small enough to be at hand.
     """
-    pairs = _runs(pieces, salt, ["a", "b"])
-    if vocabulary.count() <= BROADCAST_ROWS:
+    pairs, size = _runs(pieces, salt, ["a", "b"]), vocabulary.count()
+    at_hand = size <= BROADCAST_ROWS
+
+    def known(df: DataFrame, by: str) -> DataFrame:
         for side in ("a", "b"):
-            pairs = pairs.join(F.broadcast(vocabulary.select(F.col("id").alias(side))), side, "left_semi")
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("f"))
-    return stored(counted.where(F.col("f") >= least).select("a", "b"), "collocation-pairs")
+            names = vocabulary.select(F.col("id").alias(side), F.col("no").alias(f"{side}_no"))
+            df = df.join(F.broadcast(names) if at_hand else names, side + by)
+        return df
+
+    if at_hand:
+        both = _packed([F.col("a_no"), F.col("b_no")], size)[0]
+        counted = known(pairs, "").groupBy(both.alias("both")).agg(F.count("*").alias("f")).where(F.col("f") >= least)
+        a_no, b_no = _unpacked([F.col("both")], 2, size)
+        named = known(counted.select(a_no.alias("a_no"), b_no.alias("b_no"), "f"), "_no")
+    else:
+        named = known(pairs.groupBy("a", "b").agg(F.count("*").alias("f")).where(F.col("f") >= least), "")
+    return stored(named.select("a", "b", "a_no", "b_no", F.col("f").cast("long").alias("f")), "collocation-pairs")
 
 
-def windows(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Lead windows w1 .. w_order (word numbers, which also tell the language) with their count
-    c, the frequent words (lang, word, id, f) and (lang, n).
+def windows(pieces: DataFrame, pairs: DataFrame, salt: int, size: int, order: int = ORDER) -> DataFrame:
+    """Lead windows of three words or more, n1 .. n_order (word numbers, NULL from the end on), with
+    their count c.
 
-    A window ends before the first word that follows its predecessor fewer than ``least`` times
-    (no longer phrase holding that pair can reach ``least``); a window whose first two words are
-    such a pair adds only to its first word's count, which the words already hold, and is left
-    out.  Windows are made inside each piece's array, so no row carries its piece along.
+    A window ends before the first word that does not follow its predecessor in ``pairs``: no longer
+    phrase holding that pair can be frequent.  A window of fewer than three words adds only to
+    counts that words and pairs already hold, and is left out.  Windows are made inside each piece's
+    array, so no row carries its piece along.
     """
-    pieces = stored(_words(docs), "collocation-pieces")
-    n, vocabulary, salt = vocabulary_of(pieces, least)
-    pairs = frequent_pairs(pieces, vocabulary, salt, least)
-    opened = _runs(pieces, salt, [f"w{k}" for k in range(1, order + 1)])
+    names, numbers = ([f"{x}{k}" for k in range(1, order + 1)] for x in "wn")
+    opened = _runs(pieces, salt, names)
     rows = pairs.count()
-    for k in range(1, order):
-        side = pairs.select(F.col("a").alias(f"w{k}"), F.col("b").alias(f"w{k + 1}"), F.lit(True).alias(f"_ok{k}"))
+    for k in range(order - 1):
+        first = [F.col("a_no").alias(numbers[0])] if not k else []
+        side = pairs.select(F.col("a").alias(names[k]), F.col("b").alias(names[k + 1]), *first, F.col("b_no").alias(numbers[k + 1]))
         side = F.broadcast(side) if rows <= BROADCAST_ROWS else side
-        opened = opened.join(side, [f"w{k}", f"w{k + 1}"], "inner" if k == 1 else "left")
-    names = [f"w{k}" for k in range(1, order + 1)]
-    ids, kept = [F.col("w1"), F.col("w2")], F.lit(True)
-    for k in range(2, order):
-        kept = kept & F.col(f"_ok{k}").isNotNull()
-        ids.append(F.when(kept, F.col(f"w{k + 1}")))
-    counted = opened.select(*[x.alias(c) for x, c in zip(ids, names, strict=True)]).groupBy(*names).agg(F.count("*").alias("c"))
-    return counted, vocabulary, n
+        opened = opened.join(side, names[k : k + 2], "inner" if k < 2 else "left")
+    ids, going = [], F.lit(True)
+    for c in numbers:
+        going = going & F.col(c).isNotNull()
+        ids.append(F.when(going, F.col(c)))
+    packed = [x.alias(f"p{i}") for i, x in enumerate(_packed(ids, size))]
+    keys = [f"p{i}" for i in range(len(packed))]
+    counted = opened.select(*packed).groupBy(*keys).agg(F.count("*").alias("c"))
+    plain = _unpacked([F.col(x) for x in keys], order, size)
+    return counted.select(*[x.alias(c) for x, c in zip(plain, numbers, strict=True)], "c")
 
 
 def counts(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, ws, f) of all phrases of up to ``order`` words with f >= ``least``, and (lang, n)."""
-    names = [f"w{k}" for k in range(1, order + 1)]
-    levels = {k: (1 << (order - k)) - 1 for k in range(1, order + 1)}  # words kept -> grouping id
-    counted, vocabulary, n = windows(docs, order, least)
-    words = vocabulary.select(F.col("id").alias("w1"), "f")
-    rolled = stored(
-        counted.rollup(*names)
-        .agg(F.sum("c").alias("f"), F.grouping_id().alias("_g"))
-        .where(F.col("w2").isNotNull() & (F.col("f") >= least)),
-        "collocation-rollup",
-    ).unionByName(words.select("w1", *[F.lit(None).cast("long").alias(c) for c in names[1:]], "f", F.lit(levels[1]).alias("_g")))
-    parts = []
-    for k in range(1, order + 1):
-        kept = [F.col(c) for c in names[:k]]
-        known: Column = F.lit(True)
-        for c in kept:
-            known = known & c.isNotNull()
-        parts.append(
-            rolled.where((F.col("_g") == levels[k]) & known).select(
-                F.lit(k).alias("k"), F.array(*kept).alias("ids"), F.col("f").cast("long").alias("f")
-            )
-        )
-    frequent = parts[0]
-    for more in parts[1:]:
-        frequent = frequent.unionByName(more)
+    pieces = stored(_words(docs), "collocation-pieces")
+    n, vocabulary, salt = vocabulary_of(pieces, least)
+    size = vocabulary.count()
+    pairs = frequent_pairs(pieces, vocabulary, salt, least)
+
+    def level(k: int, df: DataFrame, ids: list, f: Column | str) -> DataFrame:
+        return df.select(F.lit(k).alias("k"), F.array(*ids).alias("ids"), F.col(f).cast("long").alias("f"))
+
+    frequent = level(1, vocabulary, ["no"], "f").unionByName(level(2, pairs, ["a_no", "b_no"], "f"))
+    if order > 2:
+        counted = windows(pieces, pairs, salt, size, order)
+        longer = []
+        for k in range(3, order + 1):
+            ids = [f"n{i}" for i in range(1, k + 1)]
+            held = counted.where(F.col(ids[-1]).isNotNull())
+            if k < order:
+                packed = _packed([F.col(c) for c in ids], size)
+                keys = [f"p{i}" for i in range(len(packed))]
+                summed = held.groupBy(*[x.alias(c) for x, c in zip(packed, keys, strict=True)]).agg(F.sum("c").alias("c"))
+                plain = _unpacked([F.col(c) for c in keys], k, size)
+                held = summed.select(*[x.alias(c) for x, c in zip(plain, ids, strict=True)], "c")
+            longer.append(level(k, held.where(F.col("c") >= least), ids, "c"))
+        rolled = longer[0]
+        for more in longer[1:]:
+            rolled = rolled.unionByName(more)
+        frequent = frequent.unionByName(stored(rolled, "collocation-longer"))
     # Back from numbers to words: one row per frequent phrase and word.
     spelled = (
-        frequent.select("k", "ids", "f", F.posexplode("ids").alias("at", "id"))
-        .join(vocabulary.select("id", "lang", "word"), "id")
+        frequent.select("k", "ids", "f", F.posexplode("ids").alias("at", "no"))
+        .join(vocabulary.select("no", "lang", "word"), "no")
         .groupBy("k", "ids", "f")
         .agg(F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("at", "word"))).alias("spelt"))
         .select("lang", "k", F.col("spelt.word").alias("ws"), "f")

@@ -87,3 +87,27 @@ def test_pairs_with_rare_words_are_left_out_before_the_shuffle(spark):
     assert {r.word for r in vocabulary.collect()} == {"big", "data"}
     got = collocations.frequent_pairs(pieces, vocabulary, salt, 1)
     assert got.count() == 2  # big data, data big; none with a rare word
+
+
+def test_windows_with_a_rare_second_pair_are_left_out_before_the_shuffle(spark):
+    rows = [(i, f"big data once{i}. on the other hand", "en", "s") for i in range(5)]
+    pieces = collocations._words(documents(spark, rows))
+    _, vocabulary, salt = collocations.vocabulary_of(pieces, 1)
+    number = {r.word: r.no for r in vocabulary.collect()}
+    assert sorted(number.values()) == list(range(len(number)))
+    pairs = collocations.frequent_pairs(pieces, vocabulary, salt, 3)
+    assert {(r.a_no, r.b_no, r.f) for r in pairs.collect()} == {
+        (number[a], number[b], 5) for a, b in [("big", "data"), ("on", "the"), ("the", "other"), ("other", "hand")]
+    }
+    got = collocations.windows(pieces, pairs, salt, len(number))
+    assert {tuple(r) for r in got.collect()} == {
+        tuple(number.get(w) for w in window) + (5,) for window in [("on", "the", "other", "hand"), ("the", "other", "hand", None)]
+    }
+
+
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_other_orders_without_broadcasts_equal_plain_count(spark, monkeypatch, order):
+    monkeypatch.setattr(collocations, "BROADCAST_ROWS", -1)
+    rows = corpus(3, 60) + [("x y z w v " * 4, None)]
+    docs = documents(spark, [(i, t, g, "s") for i, (t, g) in enumerate(rows)])
+    assert got_of(collocations.collocations(docs, order=order, least=3)) == plain(rows, 3, 2000, order)
