@@ -173,7 +173,9 @@ def counts(docs: DataFrame, order: int = ORDER, least: int = LEAST) -> tuple[Dat
         longer = []
         for k in range(3, order + 1):
             ids = [f"n{i}" for i in range(1, k + 1)]
-            held = counted.where(F.col(ids[-1]).isNotNull())
+            # Counts of windows that reach a k-th word; as counts, not as a filter on keys that would
+            # count the windows anew for each k.
+            held = counted.withColumn("c", F.when(F.col(ids[-1]).isNotNull(), F.col("c")))
             if k < order:
                 packed = _packed([F.col(c) for c in ids], size)
                 keys = [f"p{i}" for i in range(len(packed))]
