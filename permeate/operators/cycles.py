@@ -20,9 +20,13 @@ from permeate.storage import attach, stage
 
 
 def mark_periods(
-    ordered: DataFrame, program: int = FILTRATION, keys: Sequence[str] = UNIT, **blocks
+    ordered: DataFrame,
+    program: int = FILTRATION,
+    keys: Sequence[str] = UNIT,
+    carried: dict[str, tuple[str, str | Column]] | None = None,
+    **blocks,
 ) -> DataFrame:
-    """Add to each row the period it belongs to.
+    """Add to each row the period it belongs to, and the values ``carried`` by the same :func:`running`.
 
     ``period`` is the row number of the period's first row.  A period is a longest run of the
     program plus the one row after it, which closes it; NULL outside.  ``in_run`` is false on the
@@ -41,7 +45,7 @@ def mark_periods(
             }
         )
     )
-    return running(marked, {"period": ("last", "_opens")}, keys=keys, **blocks).withColumn(
+    return running(marked, {"period": ("last", "_opens"), **(carried or {})}, keys=keys, **blocks).withColumn(
         "period", F.when(F.col("_member"), F.col("period"))
     ).drop("_opens", "_member")
 
@@ -187,11 +191,10 @@ def label_cycles(
         ordered.withColumn("_good", member).drop("_sensors").withColumn("_one", F.col("_good").cast("long")),
         program,
         keys,
+        carried={"_good_no": ("sum", "_one")},
         **blocks,
     )
-    counted = stage(
-        running(marked, {"_good_no": ("sum", "_one")}, keys=keys, **blocks).drop("_one"), "periods"
-    )
+    counted = stage(marked.drop("_one"), "periods")
     inside = counted.filter(F.col("period").isNotNull())
     kept = (
         inside.groupBy(*keys, "period")
@@ -210,8 +213,7 @@ def label_cycles(
         *keys, "period", "n", "_first_no", (F.col("_no") + 1).alias("cycle_id")
     )
     return (
-        counted.filter("_good")
-        .join(numbered, [*keys, "period"], "left")
+        attach(counted.filter("_good"), numbered, [*keys, "period"], "left")
         .withColumn("k", F.col("_good_no") - F.col("_first_no") + 1)
         .withColumn("cycle_id", F.coalesce("cycle_id", F.lit(0)).cast("int"))
         .drop("_good", "_good_no", "_first_no", "period", "in_run", "next_us")

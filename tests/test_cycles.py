@@ -123,3 +123,20 @@ def test_next_after_is_strict(spark):
     left = spark.createDataFrame([("u", t, i) for i, t in enumerate((1, 5, 9))], "unit_id string, us long, seq long")
     right = spark.createDataFrame([("u", t, i) for i, t in enumerate((5, 8))], "unit_id string, us long, seq long")
     assert [r.next_us for r in next_after(left, right).orderBy("us").collect()] == [5, 8, None]
+
+
+@pytest.mark.parametrize("block_rows", [4, 10_000])
+def test_cycles_carry_the_period_and_the_place_in_one_pass(spark, block_rows, monkeypatch):
+    made, through = [], c.running
+
+    def counted(df, aggregates, **more):
+        made.append(set(aggregates))
+        return through(df, aggregates, **more)
+
+    monkeypatch.setattr(c, "running", counted)
+    log = make(spark, [10] * 12 + [21, None] + [10] * 15, tmp=lambda i: None if i == 4 else 99.0 if i == 20 else 2.0)
+    rows = c.label_cycles(log, BANDS, 5, block_rows=block_rows).orderBy("rn").collect()
+    assert made == [{"period", "_good_no"}]
+    want = [(rn, 1, k) for k, rn in enumerate([*range(4), *range(5, 13)], 1)] + [(13, 0, None)]
+    want += [(rn, 2, k) for k, rn in enumerate([*range(14, 20), *range(21, 29)], 1)]
+    assert [(r.rn, r.cycle_id, r.k) for r in rows] == want
