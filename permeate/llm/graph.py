@@ -49,12 +49,14 @@ def components(edges: DataFrame) -> DataFrame:
     return links.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
 
 
-def linked(meeting: DataFrame, verify, could=None, rounds: int = 2) -> DataFrame:
+def linked(meeting: DataFrame, verify, could=None, rounds: int = 2, once=None, small: str | None = None) -> DataFrame:
     """Links (a, b) that connect all that ``verify`` would link of the nodes that meet in a key.
 
     ``meeting`` has key, node and what ``could`` looks at. In each round every node is held against
     one hub, that of the key where most meet, and the links found are contracted; what is then
     still apart is paired in full. ``verify`` gets pairs (a, b) and gives those that link; ``could(x, y)`` may rule pairs out.
+    ``once(x, y)`` tells the one key, of those a pair shares, at which it is to be paired in full.
+    The first hubs are those of the least ``small``, a column of ``meeting``, where it is given.
     """
     known, rows = None, meeting.count()
 
@@ -69,7 +71,8 @@ def linked(meeting: DataFrame, verify, could=None, rounds: int = 2) -> DataFrame
         spread = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
         at = stored(gathered(at.join(spread, "key"), rows), f"meeting{turn}")
         if turn < rounds:
-            rank = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"))
+            first = [F.col(small)] if small and not turn else []
+            rank = F.struct(*first, F.xxhash64("node", F.lit(turn)), F.col("node"))
             hubs = at.groupBy("key").agg(F.count("*").alias("met"), F.min_by(F.struct(*at.columns), rank).alias("hub"))
             other = hubs.select("hub.*", "met")
         else:
@@ -82,6 +85,7 @@ def linked(meeting: DataFrame, verify, could=None, rounds: int = 2) -> DataFrame
             pairs = pairs.groupBy(F.col("x.node").alias("node")).agg(F.max(most).alias("best"))
             pairs = pairs.select("node", F.col("best.hub").alias("hub"))
         else:
+            pairs = pairs.where(once("x", "y") if once else F.lit(True))
             pairs = pairs.where("x.node < y.node").select(F.col("x.node").alias("node"), F.col("y.node").alias("hub"))
         pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         if turn < rounds:

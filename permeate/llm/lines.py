@@ -4,11 +4,12 @@ A line's set holds its overlapping pieces of ``SIZE`` characters (a shorter line
 after lower-casing and trimming. Lines are similar from a Jaccard similarity of 0.8 on.
 
 1. Equal lines are one, known by a 64-bit hash.
-2. A signature holds the ``ROWS`` least hashes of all pieces under each of ``BANDS`` orders. Lines that
-   agree in a band meet: about 997 of 1,000 pairs of similarity 0.8 do, and more where sets are small.
-3. Lines that meet are verified on their full sets. A line is first held against one hub, in the
-   band where most meet; what is still apart after contraction is paired in full. So groups of copies do not become
-   all their pairs.
+2. A signature holds ``MINIMA`` least hashes of all pieces, each under an order of its own, ``ROWS`` to a
+   band. Lines that agree in a band meet: about 997 of 1,000 pairs of similarity 0.8 do.
+3. Pairs that meet are ruled out if fewer than ``AGREE`` minima agree, as of 1,000 pairs of similarity 0.8
+   about one does; the others are verified on their full sets. A line is first held against one
+   hub, the shortest line of the band where most meet; what is still apart after contraction is paired in full. So groups
+   of copies do not become all their pairs.
 4. Components by distributed union-find; of each, the first line by (doc_id, place) stays.
 
 Defined cases: blank lines all stay; a null text stays null and has no lines; an empty text has no
@@ -19,6 +20,8 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +30,22 @@ from permeate.llm.tables import BROADCAST_ROWS, pick, stored
 
 SIZE = 8
 SHARE, SHARE_OF = 80, 100
-CUTS, ROWS = 4, 3
-BANDS = 2 * CUTS
+BANDS, ROWS = 8, 3
+MINIMA = BANDS * ROWS
+#: So many minima must agree: where they are of at least ``APART`` pieces (counted in each turn), and at smaller sets.
+AGREE, AGREE_FEW, APART = 13, 8, 23
+
+#: The orders of a band look at a hash turned by 0, 21 and 42 bits, each from a bin of its own (the first three bits).
+TURN, _REST = 21, 61
+_TOPS = [[((2 * r + 1) * b + 3 * r) % BANDS for r in range(ROWS)] for b in range(BANDS)]
+_ORDERS = [[(t << _REST) - (1 << 64 if t > 3 else 0) for t in tops] for tops in _TOPS]
+#: A line of more pieces than twice ``FULL`` passes on those at the front of their bins (three a bin or more
+#: are expected) and its first ``LEAD``: others are no minima, but where a bin is left empty.
+FULL, LEAD = 24, 64
 
-_CUTS = [-(1 << 63) + (k << 62) + 1 for k in range(CUTS)]
+_LANES = [f"s{i}" for i in range(MINIMA // 8)]
+_KEYS = [f"b{b}" for b in range(BANDS)]
+_SKETCH = [*_LANES, "agree", "chars"]
 
 
 def _bare(line: Column) -> Column:
@@ -52,45 +67,70 @@ def _hashes(norm: Column) -> Column:
     return F.transform(F.array(F.encode(norm, "UTF-32")), cut)[0]
 
 
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc_id, place and text of every line."""
+    plain = pick(docs, "doc_id", "text").where("doc_id is not null")
+    return plain.select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n")).alias("place", "raw"))
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, place, norm of every line that is not blank."""
-    plain = pick(docs, "doc_id", "text").where("doc_id is not null")
-    each = plain.select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    return each.select("doc_id", "place", _norm(F.col("line")).alias("norm")).where("norm <> ''")
+    return _lines(docs).select("doc_id", "place", _norm(F.col("raw")).alias("norm")).where("norm <> ''")
+
+
+def _pieces(lines: DataFrame) -> DataFrame:
+    """doc_id, place, line (its hash), chars and the hash, turned (h0, h1, ...), of each piece that may be least under an order."""
+    size = F.octet_length("bytes")
+    plain = lines.select("doc_id", "place", F.xxhash64("norm").alias("line"), F.encode("norm", "UTF-32").alias("bytes"))
+    halved = F.greatest(F.floor(F.log2(size / F.lit(4 * FULL))), F.lit(0)).cast("int")
+    front = F.call_function("shiftright", F.lit((1 << _REST) - 1), halved)
+    starts = F.sequence(F.lit(1), F.greatest(size - (4 * SIZE - 1), F.lit(1)), F.lit(4))
+    every = plain.select("doc_id", "place", "line", (size / 4).cast("int").alias("chars"), "bytes", front.alias("front"), F.explode(starts).alias("at"))
+    hash_0 = F.xxhash64(F.substring(F.col("bytes"), F.col("at"), F.lit(4 * SIZE))).alias("h0")
+    hashed = every.select("doc_id", "place", "line", "chars", "front", "at", hash_0)
+    for r in range(1, ROWS):
+        turned = F.shiftleft("h0", r * TURN).bitwiseOR(F.shiftrightunsigned("h0", 64 - r * TURN))
+        hashed = hashed.withColumn(f"h{r}", turned)
+    ahead = [F.col(f"h{r}").bitwiseAND(F.lit((1 << _REST) - 1)) <= F.col("front") for r in range(ROWS)]
+    kept = reduce(Column.__or__, ahead, F.col("at") <= 4 * LEAD)
+    return hashed.where(kept).select("doc_id", "place", "line", "chars", *[f"h{r}" for r in range(ROWS)])
 
 
 def _signed(lines: DataFrame) -> DataFrame:
-    """doc_id, place, line (its hash) and the band keys b0, b1, ... of each line.
+    """doc_id, place, line (its hash), the band keys b0, b1, ... and the sketch s0, s1, ..., agree, chars of each line.
 
-    The hashes lie on a circle that is cut at ``CUTS`` places. From each cut the next ``ROWS`` upwards
-    are one band, those downwards another: the least under an order that begins there. One sort
-    of the hashes serves all bands.
+    Orders differ by an exclusive or of the hashes, so pieces are hashed once. A sketch has a byte of
+    each minimum, eight to a number, and how many must agree.
     """
-    ranked = lines.withColumn("ranked", F.sort_array(F.array_distinct(_hashes(F.col("norm")))))
-    cuts = [F.lit(c) for c in _CUTS]
-    marked = ranked.withColumn("marked", F.sort_array(F.concat("ranked", F.array(*cuts))))
-    # Hashes below a cut: its place among all, less itself and the cuts before it.
-    below = [F.array_position("marked", c) - F.lit(k + 1) for k, c in enumerate(cuts)]
-    n, ends = F.size("ranked"), [F.slice("ranked", F.lit(-ROWS), F.lit(ROWS)), "ranked", F.slice("ranked", 1, ROWS)]
-    round_few = F.concat(*["ranked"] * (2 * ROWS + 1))  # goes round even where few hashes are
-    circle = marked.select(
-        "doc_id",
-        "place",
-        F.xxhash64("norm").alias("line"),
-        F.when(n >= ROWS, F.concat(*ends)).otherwise(round_few).alias("circle"),
-        F.when(n >= ROWS, F.lit(ROWS)).otherwise(n * ROWS).alias("ahead"),
-        *[b.cast("int").alias(f"c{k}") for k, b in enumerate(below)],
-    )
-    bands = []
-    for k in range(CUTS):
-        at = F.col(f"c{k}") + F.col("ahead")
-        bands.append(F.xxhash64(F.lit(2 * k), F.slice("circle", at + 1, F.lit(ROWS))))
-        bands.append(F.xxhash64(F.lit(2 * k + 1), F.slice("circle", at - ROWS + 1, F.lit(ROWS))))
-    return circle.select("doc_id", "place", "line", *[b.alias(f"b{i}") for i, b in enumerate(bands)])
+    least = [F.min(F.col(f"h{r}").bitwiseXOR(F.lit(_ORDERS[b][r]))).alias(f"m{b + r * BANDS}") for r in range(ROWS) for b in range(BANDS)]
+    minima = _pieces(lines).groupBy("doc_id", "place", "line", "chars").agg(*least)
+    bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b + r * BANDS}") for r in range(ROWS)]).alias(f"b{b}") for b in range(BANDS)]
+    sketch = []
+    for first in range(0, MINIMA, 8):
+        lanes = [F.shiftleft(F.col(f"m{first + i}").bitwiseAND(F.lit(255)), 8 * i) for i in range(8)]
+        sketch.append(reduce(Column.bitwiseOR, lanes).alias(f"s{first // 8}"))
+    pieces = [F.col(f"m{b + r * BANDS}").bitwiseXOR(F.lit(_ORDERS[b][r])) for r in range(ROWS) for b in range(BANDS)]
+    apart = F.size(F.array_distinct(F.array(*pieces)))
+    sketch.append(F.when(apart >= APART, F.lit(AGREE)).otherwise(F.lit(AGREE_FEW)).alias("agree"))
+    return minima.select("doc_id", "place", "line", "chars", *bands, *sketch)
+
+
+def _could(x: str, y: str) -> Column:
+    """Whether enough bytes of two sketches agree."""
+
+    def differing(name: str) -> Column:
+        bits = F.col(f"{x}.{name}").bitwiseXOR(F.col(f"{y}.{name}"))
+        for fold in (4, 2, 1):
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, fold))
+        return F.bit_count(bits.bitwiseAND(F.lit(0x0101010101010101)))
 
+    return F.lit(MINIMA) - reduce(Column.__add__, map(differing, _LANES)) >= F.least(f"{x}.agree", f"{y}.agree")
 
-def _set(norm: str) -> Column:
-    return F.array_distinct(_hashes(F.col(norm)))
+
+def _first_key(x: str, y: str) -> Column:
+    """Whether two lines meet at the first of the keys they share."""
+    shared = [F.when(F.col(f"{x}.{b}") == F.col(f"{y}.{b}"), F.col(f"{x}.{b}")) for b in _KEYS]
+    return F.col(f"{x}.key") == F.coalesce(*shared)
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -99,30 +139,28 @@ def _few(df: DataFrame) -> DataFrame:
 
 def similar(docs: DataFrame, signed: DataFrame) -> DataFrame:
     """Links (a, b) between different similar lines that connect all that are similar."""
-    names = [f"b{b}" for b in range(BANDS)]
-    different = signed.groupBy("line").agg(*[F.min(b).alias(b) for b in names])
-    keyed = different.select("line", F.explode(F.array(*names)).alias("key"))
-    met = keyed.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi").select("key")
-    meeting = stored(keyed.join(met, "key").select("key", F.col("line").alias("node")), "lines-meeting")
+    keyed = signed.select(F.col("line").alias("node"), *_KEYS, *_SKETCH, F.explode(F.array(*_KEYS)).alias("key"))
+    met = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
+    held = keyed.join(_few(stored(met, "lines-met")), "key").groupBy("key", "node").agg(*[F.min(c).alias(c) for c in _KEYS + _SKETCH])
+    meeting = stored(held, "lines-meeting")
     wanted = stored(meeting.select(F.col("node").alias("line")).distinct(), "lines-wanted")
-    found = lines_of(docs).withColumn("line", F.xxhash64("norm")).join(_few(wanted), "line").select("line", "norm")
+    # One place of each is lower-cased again; rows of one id may differ there, so the hash decides.
+    places = signed.select("line", "doc_id", "place").join(_few(wanted), "line")
+    places = stored(places.groupBy("line").agg(F.min(F.struct("doc_id", "place")).alias("at")).select("line", "at.*"), "lines-places")
+    found = _lines(docs).join(_few(places), ["doc_id", "place"]).select("line", _norm(F.col("raw")).alias("norm"))
+    found = found.where(F.xxhash64("norm") == F.col("line"))
     texts = stored(found.groupBy("line").agg(F.min("norm").alias("norm")), "lines-texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         left = texts.select(F.col("line").alias("a"), F.col("norm").alias("norm_a"))
         right = texts.select(F.col("line").alias("b"), F.col("norm").alias("norm_b"))
-        # Bound to a name by a function, sets and their overlap are made once per pair.
-        sets = F.struct(_set("norm_a").alias("one"), _set("norm_b").alias("two"))
-
-        def similar_sets(s: Column) -> Column:
-            n = F.size(s["one"]) + F.size(s["two"])
-            both = F.array(F.size(F.array_intersect(s["one"], s["two"])))
-            return F.exists(both, lambda k: k * SHARE_OF >= (n - k) * SHARE)
-
         held = pairs.join(left, "a").join(right, "b")
-        return held.where(F.exists(F.array(sets), similar_sets)).select("a", "b")
+        # The hashes are made once per pair; what follows is not moved before a generator.
+        sets = F.inline(F.array(F.struct(_hashes(F.col("norm_a")).alias("one"), _hashes(F.col("norm_b")).alias("two"))))
+        both, either = F.size(F.array_intersect("one", "two")), F.size(F.array_union("one", "two"))
+        return held.select("a", "b", sets).where(both * SHARE_OF >= either * SHARE).select("a", "b")
 
-    return linked(meeting, verify)
+    return linked(meeting, verify, _could, once=_first_key, small="chars")
 
 
 def repeated(docs: DataFrame) -> DataFrame:

@@ -176,6 +176,36 @@ def test_similar_lines_meet_whatever_was_edited(spark):
     assert len(met) > 12 and not short
 
 
+def test_lines_that_share_a_passage_are_not_all_verified(spark, monkeypatch):
+    draw = random.Random(8)
+    passage = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(150))
+
+    def own(n):
+        return "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+    texts = [own(140) + passage + own(140) for _ in range(60)] + [passage + own(k % 9) for k in range(20)]
+    asked, linked = [], graph.linked
+
+    def counted(meeting, verify, *args, **kwargs):
+        def counting(pairs):
+            asked.append(pairs.count())
+            return verify(pairs)
+
+        return linked(meeting, counting, *args, **kwargs)
+
+    monkeypatch.setattr(lines, "linked", counted)
+    got = {r.doc_id: r.n_kept for r in lines.deduped(documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).collect()}
+    # The short ones are all similar; the long ones share 0.2 to 0.4 with others, and none goes.
+    assert sorted(i for i, n in got.items() if n) == [*range(61)]
+    assert sum(asked) < 200
+
+
+def test_signatures_of_repeats_are_those_of_their_sets(spark):
+    rows = [(1, 0, "ab cd ef gh ij " * 40), (2, 0, "ab cd ef gh ij " * 900), (3, 0, "x" * 70000), (4, 0, "x" * 9)]
+    got = {r.doc_id: [r[f"b{i}"] for i in range(lines.BANDS)] for r in lines._signed(spark.createDataFrame(rows, "doc_id long, place int, norm string")).collect()}
+    assert got[1] == got[2] and got[3] == got[4] and got[1] != got[3]
+
+
 def test_line_dedup_awkward_rows(spark):
     docs = documents(spark)
     got = lines.deduped(docs).collect()
