@@ -3,12 +3,13 @@
 A line's set holds its overlapping pieces of ``SIZE`` characters (a shorter line is one piece),
 after lower-casing and trimming. Lines are similar from a Jaccard similarity of 0.8 on.
 
-1. Equal lines are one, known by a 64-bit hash.
+1. Equal lines are one, known by a 64-bit hash; each is signed once.
 2. A signature holds ``MINIMA`` least hashes of all pieces, each under an order of its own, ``ROWS`` to a
    band. Lines that agree in a band meet: about 997 of 1,000 pairs of similarity 0.8 do.
-3. Pairs that meet are ruled out if fewer than ``AGREE`` minima agree, as of 1,000 pairs of similarity 0.8
-   about one does; the others are verified on their full sets. A line is first held against one
-   hub, the shortest line of the band where most meet; what is still apart after contraction is paired in full. So groups
+3. Of a line that meets another, the size of its set and a bit for the parity of the pieces that fall
+   on each of ``BITS`` places are kept. Sets that differ in d pieces differ in d places at most, so pairs that
+   differ in too many are ruled out; the others are verified on their full sets. A line is first held against one
+   hub, the nearest by these places of a few of each of its bands; what is still apart after contraction is paired in full. So groups
    of copies do not become all their pairs.
 4. Components by distributed union-find; of each, the first line by (doc_id, place) stays.
 
@@ -32,8 +33,8 @@ SIZE = 8
 SHARE, SHARE_OF = 80, 100
 BANDS, ROWS = 8, 3
 MINIMA = BANDS * ROWS
-#: So many minima must agree: where they are of at least ``APART`` pieces (counted in each turn), and at smaller sets.
-AGREE, AGREE_FEW, APART = 13, 8, 23
+LANES = 8
+BITS = 64 * LANES
 
 #: The orders of a band look at a hash turned by 0, 21 and 42 bits, each from a bin of its own (the first three bits).
 TURN, _REST = 21, 61
@@ -43,13 +44,15 @@ _ORDERS = [[(t << _REST) - (1 << 64 if t > 3 else 0) for t in tops] for tops in
 #: are expected) and its first ``LEAD``: others are no minima, but where a bin is left empty.
 FULL, LEAD = 24, 64
 
-_LANES = [f"s{i}" for i in range(MINIMA // 8)]
+_BLANKS = " \t\r\x0b\x0c"
 _KEYS = [f"b{b}" for b in range(BANDS)]
-_SKETCH = [*_LANES, "agree", "chars"]
+_PARITIES = [f"p{i}" for i in range(LANES)]
 
 
 def _bare(line: Column) -> Column:
-    return F.trim(line, F.lit(" \t\r\x0b\x0c"))
+    ahead = F.ltrim(line, F.lit(_BLANKS))
+    # To cut at the end, the places of all characters are listed first, so only lines that need it are cut.
+    return F.when(reduce(Column.__or__, [F.endswith(ahead, F.lit(c)) for c in _BLANKS]), F.rtrim(ahead, F.lit(_BLANKS))).otherwise(ahead)
 
 
 def _norm(line: Column) -> Column:
@@ -78,96 +81,114 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return _lines(docs).select("doc_id", "place", _norm(F.col("raw")).alias("norm")).where("norm <> ''")
 
 
+def hashed_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, place, line (its hash), norm of every line that is not blank."""
+    return lines_of(docs).select("doc_id", "place", F.xxhash64("norm").alias("line"), "norm")
+
+
 def _pieces(lines: DataFrame) -> DataFrame:
-    """doc_id, place, line (its hash), chars and the hash, turned (h0, h1, ...), of each piece that may be least under an order."""
+    """doc_id, place, line and the hash, turned (h0, h1, ...), of each piece that may be least under an order."""
     size = F.octet_length("bytes")
-    plain = lines.select("doc_id", "place", F.xxhash64("norm").alias("line"), F.encode("norm", "UTF-32").alias("bytes"))
+    plain = lines.select("doc_id", "place", "line", F.encode("norm", "UTF-32").alias("bytes"))
     halved = F.greatest(F.floor(F.log2(size / F.lit(4 * FULL))), F.lit(0)).cast("int")
     front = F.call_function("shiftright", F.lit((1 << _REST) - 1), halved)
     starts = F.sequence(F.lit(1), F.greatest(size - (4 * SIZE - 1), F.lit(1)), F.lit(4))
-    every = plain.select("doc_id", "place", "line", (size / 4).cast("int").alias("chars"), "bytes", front.alias("front"), F.explode(starts).alias("at"))
-    hash_0 = F.xxhash64(F.substring(F.col("bytes"), F.col("at"), F.lit(4 * SIZE))).alias("h0")
-    hashed = every.select("doc_id", "place", "line", "chars", "front", "at", hash_0)
+    every = plain.select("doc_id", "place", "line", "bytes", front.alias("front"), F.explode(starts).alias("at"))
+    hash_0 = F.xxhash64(F.substring(F.col("bytes"), F.col("at"), F.lit(4 * SIZE)))
+    # The filter below reads the hash several times and would make it anew each time; it is not moved before a
+    # column that Spark holds for not deterministic, as that of the partition (of which no bit is taken).
+    none = F.spark_partition_id().cast("long").bitwiseAND(F.lit(0).cast("long"))
+    hashed = every.select("doc_id", "place", "line", "front", "at", hash_0.bitwiseXOR(none).alias("h0"))
+    turned = [F.col("h0")]
     for r in range(1, ROWS):
-        turned = F.shiftleft("h0", r * TURN).bitwiseOR(F.shiftrightunsigned("h0", 64 - r * TURN))
-        hashed = hashed.withColumn(f"h{r}", turned)
-    ahead = [F.col(f"h{r}").bitwiseAND(F.lit((1 << _REST) - 1)) <= F.col("front") for r in range(ROWS)]
+        turned.append(F.shiftleft("h0", r * TURN).bitwiseOR(F.shiftrightunsigned("h0", 64 - r * TURN)))
+    ahead = [h.bitwiseAND(F.lit((1 << _REST) - 1)) <= F.col("front") for h in turned]
     kept = reduce(Column.__or__, ahead, F.col("at") <= 4 * LEAD)
-    return hashed.where(kept).select("doc_id", "place", "line", "chars", *[f"h{r}" for r in range(ROWS)])
+    return hashed.where(kept).select("doc_id", "place", "line", *[h.alias(f"h{r}") for r, h in enumerate(turned)])
 
 
 def _signed(lines: DataFrame) -> DataFrame:
-    """doc_id, place, line (its hash), the band keys b0, b1, ... and the sketch s0, s1, ..., agree, chars of each line.
+    """line (its hash), doc_id, place (where it is first) and the band keys b0, b1, ... of each different line.
 
-    Orders differ by an exclusive or of the hashes, so pieces are hashed once. A sketch has a byte of
-    each minimum, eight to a number, and how many must agree.
+    Orders differ by an exclusive or of the hashes, so pieces are hashed once. The lines are dealt by
+    their hashes when equal ones become one, and stay where they are when their pieces are put together.
     """
+    at = F.min(F.struct("doc_id", "place")).alias("at")
+    once = lines.withColumn("line", F.xxhash64("norm")).groupBy("line").agg(at, F.min("norm").alias("norm"))
     least = [F.min(F.col(f"h{r}").bitwiseXOR(F.lit(_ORDERS[b][r]))).alias(f"m{b + r * BANDS}") for r in range(ROWS) for b in range(BANDS)]
-    minima = _pieces(lines).groupBy("doc_id", "place", "line", "chars").agg(*least)
+    minima = _pieces(once.select("line", "at.*", "norm")).groupBy("line", "doc_id", "place").agg(*least)
     bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b + r * BANDS}") for r in range(ROWS)]).alias(f"b{b}") for b in range(BANDS)]
-    sketch = []
-    for first in range(0, MINIMA, 8):
-        lanes = [F.shiftleft(F.col(f"m{first + i}").bitwiseAND(F.lit(255)), 8 * i) for i in range(8)]
-        sketch.append(reduce(Column.bitwiseOR, lanes).alias(f"s{first // 8}"))
-    pieces = [F.col(f"m{b + r * BANDS}").bitwiseXOR(F.lit(_ORDERS[b][r])) for r in range(ROWS) for b in range(BANDS)]
-    apart = F.size(F.array_distinct(F.array(*pieces)))
-    sketch.append(F.when(apart >= APART, F.lit(AGREE)).otherwise(F.lit(AGREE_FEW)).alias("agree"))
-    return minima.select("doc_id", "place", "line", "chars", *bands, *sketch)
+    return minima.select("line", "doc_id", "place", *bands)
 
 
-def _could(x: str, y: str) -> Column:
-    """Whether enough bytes of two sketches agree."""
+def _sets(texts: DataFrame) -> DataFrame:
+    """node (the line), n (the size of its set), p0, p1, ... (the parities of its pieces' places) and most (how many
+    places may differ from those of a similar line).
+
+    Sets of similarity 0.8 differ in a quarter of the smaller one's pieces at most. Where these are many
+    for the places, several fall on one, so fewer places differ: four standard deviations over the mean may.
+    """
+    # Functions of a lambda are not compiled, so they have a step of their own.
+    pieces = texts.select("line", F.array_distinct(_hashes(F.col("norm"))).alias("set")).select("line", F.explode("set").alias("h"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
+    lane = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(LANES - 1))
+    parities = [F.bit_xor(F.when(lane == i, bit).otherwise(F.lit(0).cast("long"))).alias(p) for i, p in enumerate(_PARITIES)]
+    sets = pieces.groupBy("line").agg(F.count("*").alias("n"), *parities)
+    differ = F.col("n") * (SHARE_OF - SHARE) / SHARE
+    mean = BITS / 2 * (1 - F.exp(-2 * differ / BITS))
+    most = F.ceil(mean + 4 * F.sqrt(BITS / 4 * (1 - F.exp(-4 * differ / BITS))))
+    return sets.select(F.col("line").alias("node"), "n", *_PARITIES, most.alias("most"))
+
 
-    def differing(name: str) -> Column:
-        bits = F.col(f"{x}.{name}").bitwiseXOR(F.col(f"{y}.{name}"))
-        for fold in (4, 2, 1):
-            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, fold))
-        return F.bit_count(bits.bitwiseAND(F.lit(0x0101010101010101)))
+def _places(x: str, y: str) -> Column:
+    """In how many places the parities of two lines differ."""
+    return reduce(Column.__add__, [F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in _PARITIES])
 
-    return F.lit(MINIMA) - reduce(Column.__add__, map(differing, _LANES)) >= F.least(f"{x}.agree", f"{y}.agree")
+
+def _could(x: str, y: str) -> Column:
+    """Whether the sets of two lines are of such sizes, and differ in so few places, that they may be similar."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    # Of similar sets, all that differs is at most this share of both sizes.
+    share = (n + m) * (SHARE_OF - SHARE) / (SHARE_OF + SHARE)
+    return (F.least(n, m) * SHARE_OF >= F.greatest(n, m) * SHARE) & (_places(x, y) <= F.least(share, f"{x}.most", f"{y}.most"))
 
 
-def _first_key(x: str, y: str) -> Column:
-    """Whether two lines meet at the first of the keys they share."""
-    shared = [F.when(F.col(f"{x}.{b}") == F.col(f"{y}.{b}"), F.col(f"{x}.{b}")) for b in _KEYS]
-    return F.col(f"{x}.key") == F.coalesce(*shared)
+def _near(x: str, y: str) -> Column:
+    return _places(x, y) / (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
 
 def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def similar(docs: DataFrame, signed: DataFrame) -> DataFrame:
+def similar(lines: DataFrame, signed: DataFrame) -> DataFrame:
     """Links (a, b) between different similar lines that connect all that are similar."""
-    keyed = signed.select(F.col("line").alias("node"), *_KEYS, *_SKETCH, F.explode(F.array(*_KEYS)).alias("key"))
-    met = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
-    held = keyed.join(_few(stored(met, "lines-met")), "key").groupBy("key", "node").agg(*[F.min(c).alias(c) for c in _KEYS + _SKETCH])
-    meeting = stored(held, "lines-meeting")
-    wanted = stored(meeting.select(F.col("node").alias("line")).distinct(), "lines-wanted")
-    # One place of each is lower-cased again; rows of one id may differ there, so the hash decides.
-    places = signed.select("line", "doc_id", "place").join(_few(wanted), "line")
-    places = stored(places.groupBy("line").agg(F.min(F.struct("doc_id", "place")).alias("at")).select("line", "at.*"), "lines-places")
-    found = _lines(docs).join(_few(places), ["doc_id", "place"]).select("line", _norm(F.col("raw")).alias("norm"))
-    found = found.where(F.xxhash64("norm") == F.col("line"))
+    keyed = signed.select(F.col("line").alias("node"), F.explode(F.array(*_KEYS)).alias("key"))
+    met = keyed.groupBy("key").count().where("count > 1").select("key")
+    held = stored(keyed.join(_few(stored(met, "lines-met")), "key"), "lines-held")
+    wanted = stored(held.select(F.col("node").alias("line")).distinct(), "lines-wanted")
+    found = lines.select("line", "norm").join(_few(wanted), "line")
     texts = stored(found.groupBy("line").agg(F.min("norm").alias("norm")), "lines-texts")
+    sets = stored(_sets(texts), "lines-sets")
+    meeting = stored(held.join(sets, "node"), "lines-meeting")
+    sized = stored(texts.join(sets.select(F.col("node").alias("line"), "n"), "line"), "lines-sized")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        left = texts.select(F.col("line").alias("a"), F.col("norm").alias("norm_a"))
-        right = texts.select(F.col("line").alias("b"), F.col("norm").alias("norm_b"))
-        held = pairs.join(left, "a").join(right, "b")
-        # The hashes are made once per pair; what follows is not moved before a generator.
-        sets = F.inline(F.array(F.struct(_hashes(F.col("norm_a")).alias("one"), _hashes(F.col("norm_b")).alias("two"))))
-        both, either = F.size(F.array_intersect("one", "two")), F.size(F.array_union("one", "two"))
-        return held.select("a", "b", sets).where(both * SHARE_OF >= either * SHARE).select("a", "b")
+        left = sized.select(F.col("line").alias("a"), F.col("norm").alias("norm_a"), F.col("n").alias("n_a"))
+        right = sized.select(F.col("line").alias("b"), F.col("norm").alias("norm_b"), F.col("n").alias("n_b"))
+        both = F.size(F.array_intersect(_hashes(F.col("norm_a")), _hashes(F.col("norm_b"))))
+        # Both sizes are known, so the pieces of either are those sizes less what is in both.
+        return pairs.join(left, "a").join(right, "b").where(both * (SHARE_OF + SHARE) >= (F.col("n_a") + F.col("n_b")) * SHARE).select("a", "b")
 
-    return linked(meeting, verify, _could, once=_first_key, small="chars")
+    return linked(meeting, verify, _could, near=_near, small="n", met=True)
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """doc_id, places: the lines of each document that go."""
-    signed = stored(_signed(lines_of(docs)), "lines-signed")
-    labels = stored(components(similar(docs, signed)), "lines-labels").withColumnRenamed("node", "line")
-    all_lines = signed.select("doc_id", "place", "line").join(_few(labels), "line", "left")
+    lines = stored(hashed_lines(docs), "lines-hashed")
+    signed = stored(_signed(lines), "lines-signed")
+    labels = stored(components(similar(lines, signed)), "lines-labels").withColumnRenamed("node", "line")
+    all_lines = lines.select("doc_id", "place", "line").join(_few(labels), "line", "left")
     placed = stored(all_lines.select("doc_id", "place", F.coalesce("component", "line").alias("label")), "lines-placed")
     counts = placed.groupBy("label").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")).where("n > 1")
     first_doc = stored(counts.select("label", F.col("doc_id").alias("first_doc")), "lines-first")

@@ -200,6 +200,37 @@ def test_lines_that_share_a_passage_are_not_all_verified(spark, monkeypatch):
     assert sum(asked) < 200
 
 
+def test_near_copies_about_the_limit_are_not_paired_in_full(spark, monkeypatch):
+    draw = random.Random(12)
+    passage = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300))
+
+    def near(n):
+        at = draw.randrange(300 - n)
+        return passage[:at] + "".join(draw.choice("0123456789") for _ in range(n)) + passage[at + n :]
+
+    # Half are similar to most, half (of similarity 0.55 to 0.7 with the others) to none.
+    texts = [near(draw.randrange(1, 12)) for _ in range(100)] + [near(draw.randrange(60, 70)) for _ in range(100)]
+    texts = [t.strip() for t in texts]
+    sets = [line_set(t) for t in texts]
+    links = [
+        (i, j) for i in range(200) for j in range(i + 1, 200) if len(sets[i] & sets[j]) * 100 >= 80 * len(sets[i] | sets[j])
+    ]
+    label = union_find(links, range(200))
+    asked, linked = [], graph.linked
+
+    def counted(meeting, verify, *args, **kwargs):
+        def counting(pairs):
+            asked.append(pairs.count())
+            return verify(pairs)
+
+        return linked(meeting, counting, *args, **kwargs)
+
+    monkeypatch.setattr(lines, "linked", counted)
+    got = {r.doc_id: r.n_kept for r in lines.deduped(documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).collect()}
+    assert sorted(i for i, n in got.items() if n) == sorted({label[i] for i in range(200)})
+    assert len(links) > 2000 and sum(asked) < 600
+
+
 def test_signatures_of_repeats_are_those_of_their_sets(spark):
     rows = [(1, 0, "ab cd ef gh ij " * 40), (2, 0, "ab cd ef gh ij " * 900), (3, 0, "x" * 70000), (4, 0, "x" * 9)]
     got = {r.doc_id: [r[f"b{i}"] for i in range(lines.BANDS)] for r in lines._signed(spark.createDataFrame(rows, "doc_id long, place int, norm string")).collect()}
